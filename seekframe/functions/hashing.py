@@ -1,5 +1,7 @@
 """Feature hashing (Weinberger et al., 2009): text to vector without a model."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,9 +31,6 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
 
     @F.arrow_udf("array<double>")
     def histogram(features):
-        import numpy as np
-        import pyarrow as pa
-
         n = len(features)
         sizes = features.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(n), sizes)

@@ -7,6 +7,8 @@ Vectors are stored by the cell of their nearest centre. A query looks into its
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -54,17 +56,13 @@ def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
     shared = vectors.sparkSession.sparkContext.broadcast(
         (table["cell"].to_numpy(), _matrix(table["vec"], "cosine"))
     )
-    matrix_of = _matrix
 
     @F.arrow_udf("int")
     def nearest(vec):
-        import numpy as np
-        import pyarrow as pa
-
         cells, centre_matrix = shared.value
         if len(vec) == 0:
             return pa.array([], type=pa.int32())
-        scores = np.round(matrix_of(pa.chunked_array([vec]), "cosine") @ centre_matrix.T, 9)
+        scores = np.round(_matrix(pa.chunked_array([vec]), "cosine") @ centre_matrix.T, 9)
         return pa.array(cells[np.argmax(scores, axis=1)], type=pa.int32())
 
     return vectors.where(F.col("vec").isNotNull()).withColumn("cell", nearest("vec"))

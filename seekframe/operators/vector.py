@@ -10,6 +10,8 @@ over as many tasks as its rows are.
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -18,6 +20,7 @@ from seekframe.operators.rank import top_k
 from seekframe.session import slices, union_all
 
 MAX_LISTED_VALUES = 10_000
+QUERIES_AT_ONCE = 512  # columns of a score block, to bound its memory
 
 
 def vector_search(
@@ -44,7 +47,7 @@ def vector_search(
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric}")
     spark = vectors.sparkSession
-    wanted = queries.where(F.col("vec").isNotNull()).select("query_id", *on, "vec")
+    wanted = queries.dropna(subset=["vec", *on]).select("query_id", *on, "vec")
     stored = vectors.where(F.col("vec").isNotNull()).select(*key, *on, "vec")
     schema = StructType(
         [
@@ -87,8 +90,6 @@ def _rows(table, columns: tuple[str, ...]) -> Iterator[tuple]:
 
 
 def _matrix(column, metric: str):
-    import numpy as np
-
     n = len(column)
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if n == 0:
@@ -104,30 +105,25 @@ def _matrix(column, metric: str):
 
 def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric: str, k: int):
     """Function for ``mapInArrow``: the best k rows of every batch for every query."""
-    matrix_of, rows_of = _matrix, _rows
-    queries_at_once = 512
 
     def best(batches):
-        import numpy as np
-        import pyarrow as pa
-
         ids, matrix, groups = shared.value
         for batch in batches:
             if batch.num_rows == 0 or len(matrix) == 0:
                 continue
             # Rows in key order make every later "first of the best" the smallest key.
             table = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in key])
-            x = matrix_of(table["vec"], metric)
+            x = _matrix(table["vec"], metric)
             if x.shape[1] != matrix.shape[1]:
                 raise ValueError(f"vectors are {x.shape[1]} wide, queries {matrix.shape[1]}")
             members = {}
-            for i, value in enumerate(rows_of(table, on)):
+            for i, value in enumerate(_rows(table, on)):
                 members.setdefault(value, []).append(i)
             for value, rows in members.items():
                 asked = np.array(groups.get(value, []), dtype=np.int64)
                 rows = np.array(rows)
-                for at in range(0, len(asked), queries_at_once):
-                    block = asked[at : at + queries_at_once]
+                for at in range(0, len(asked), QUERIES_AT_ONCE):
+                    block = asked[at : at + QUERIES_AT_ONCE]
                     scores = np.round(x[rows] @ matrix[block].T, 6)
                     scores = np.where(np.isnan(scores), -np.inf, scores)
                     chosen, owner = _first_k(scores, k)
@@ -143,21 +139,20 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
                         names=["query_id", *key, "score"],
                     )
 
-    def _first_k(scores, k):
-        """Row and column numbers of the k best rows of every column, first rows on ties."""
-        import numpy as np
-
-        n = len(scores)
-        if n > k:
-            bar = np.partition(scores, n - k, axis=0)[n - k]
-        else:
-            bar = np.full(scores.shape[1], -np.inf)
-        rows, columns = [], []
-        for j in range(scores.shape[1]):
-            near = np.flatnonzero((scores[:, j] >= bar[j]) & (scores[:, j] > -np.inf))
-            order = near[np.argsort(-scores[near, j], kind="stable")[:k]]
-            rows.append(order)
-            columns.append(np.full(len(order), j))
-        return np.concatenate(rows), np.concatenate(columns)
-
     return best
+
+
+def _first_k(scores, k):
+    """Row and column numbers of the k best rows of every column, first rows on ties."""
+    n = len(scores)
+    if n > k:
+        bar = np.partition(scores, n - k, axis=0)[n - k]
+    else:
+        bar = np.full(scores.shape[1], -np.inf)
+    rows, columns = [], []
+    for j in range(scores.shape[1]):
+        near = np.flatnonzero((scores[:, j] >= bar[j]) & (scores[:, j] > -np.inf))
+        order = near[np.argsort(-scores[near, j], kind="stable")[:k]]
+        rows.append(order)
+        columns.append(np.full(len(order), j))
+    return np.concatenate(rows), np.concatenate(columns)

@@ -51,3 +51,12 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 def broadcast_within(df: DataFrame, rows: int, limit: int = 1_000_000) -> DataFrame:
     """Hint a broadcast of ``df`` if ``rows``, a proven bound on its size, allows it."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Repartition an input that arrives in fewer parts than there are cores.
+
+    A small file is one part, whatever work follows; large inputs are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
