@@ -21,12 +21,12 @@ def hashed_feature(token: Column, dims: int) -> Column:
 
 
 def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
-    """ARRAY<DOUBLE> of ``dims`` signed token counts, of unit length if ``normalize``.
+    """ARRAY<DOUBLE> of ``dims`` signed token counts; of unit length, if ``normalize``.
 
     Tokens are cut and hashed by Spark expressions; only the histogram of each row
     is counted in an Arrow function, which keeps the operator narrow (exploding the
     tokens would shuffle every text once to put its dimensions back together). A
-    text without tokens has no direction and gives NULL.
+    text without tokens has no direction and gives NULL when normalised.
     """
 
     @F.arrow_udf("array<double>")
@@ -39,11 +39,12 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
         sign = np.where(code < 0, -1.0, 1.0)
         counts = np.bincount(row * dims + dim, weights=sign, minlength=n * dims).reshape(n, dims)
         length = np.sqrt((counts * counts).sum(axis=1))
+        empty = (length == 0) & normalize
         if normalize:
             counts = counts / np.where(length == 0, 1.0, length)[:, None]
         offsets = np.arange(0, (n + 1) * dims, dims, dtype=np.int32)
         return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(counts.ravel()), mask=pa.array(length == 0)
+            pa.array(offsets), pa.array(counts.ravel()), mask=pa.array(empty)
         )
 
     return histogram(F.transform(tokens(text), lambda t: hashed_feature(t, dims)))
