@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from seekframe.functions.text import tokens
 
 
-def hashed_feature(token: Column, dims: int) -> Column:
-    """Dimension of a token, as ``dim`` if its sign is plus and ``-dim - 1`` if minus.
+def token_hash(token: Column) -> Column:
+    """First nine hex digits of the MD5 as a number.
 
-    Seven hex digits of the MD5 give the dimension, the ninth gives the sign, so
-    that any engine with MD5 computes the same vector.
+    Seven of them give a token's dimension and the last one its sign, so that any
+    engine with MD5 computes the same vector.
     """
-    digest = F.md5(token)
-    dim = F.pmod(F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint"), F.lit(dims)).cast("int")
-    minus = F.substring(digest, 9, 1) >= "8"
-    return F.when(minus, -dim - 1).otherwise(dim)
+    return F.conv(F.substring(F.md5(token), 1, 9), 16, 10).cast("bigint")
 
 
 def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
@@ -29,14 +26,13 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
     text without tokens has no direction and gives NULL when normalised.
     """
 
-    @F.arrow_udf("array<double>")
-    def histogram(features):
-        n = len(features)
-        sizes = features.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    def histogram(hashes):
+        n = len(hashes)
+        sizes = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(n), sizes)
-        code = features.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        dim = np.where(code < 0, -code - 1, code)
-        sign = np.where(code < 0, -1.0, 1.0)
+        code = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        dim = (code >> 8) % dims
+        sign = np.where(code & 8, -1.0, 1.0)
         counts = np.bincount(row * dims + dim, weights=sign, minlength=n * dims).reshape(n, dims)
         length = np.sqrt((counts * counts).sum(axis=1))
         empty = (length == 0) & normalize
@@ -47,4 +43,6 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
             pa.array(offsets), pa.array(counts.ravel()), mask=pa.array(empty)
         )
 
-    return histogram(F.transform(tokens(text), lambda t: hashed_feature(t, dims)))
+    # Declared non-deterministic so that a filter on the vector does not evaluate it twice.
+    encoder = F.arrow_udf(histogram, "array<double>").asNondeterministic()
+    return encoder(F.transform(tokens(text), token_hash))

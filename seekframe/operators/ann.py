@@ -57,7 +57,6 @@ def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
         (table["cell"].to_numpy(), _matrix(table["vec"], "cosine"))
     )
 
-    @F.arrow_udf("int")
     def nearest(vec):
         cells, centre_matrix = shared.value
         if len(vec) == 0:
@@ -65,7 +64,8 @@ def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
         scores = np.round(_matrix(pa.chunked_array([vec]), "cosine") @ centre_matrix.T, 9)
         return pa.array(cells[np.argmax(scores, axis=1)], type=pa.int32())
 
-    return vectors.where(F.col("vec").isNotNull()).withColumn("cell", nearest("vec"))
+    cell = F.arrow_udf(nearest, "int").asNondeterministic()("vec")
+    return vectors.where(F.col("vec").isNotNull()).withColumn("cell", cell)
 
 
 def build_ivf_index(
@@ -116,7 +116,13 @@ def ivf_search(
     probes = probe_cells(index.centres, queries, nprobe)
     wanted = queries.join(probes.select("query_id", "cell"), "query_id")
     return vector_search(
-        index.vectors, wanted, num_results, key=key, on=("cell", *on), metric=metric
+        index.vectors,
+        wanted,
+        num_results,
+        key=key,
+        on=("cell", *on),
+        metric=metric,
+        query_rows=queries.count() * nprobe,
     )
 
 

@@ -25,7 +25,8 @@ def encode(
     udf = predict_batch_udf(
         make_encoder, return_type=ArrayType(FloatType()), batch_size=batch_size
     )
-    return udf(text)
+    # Declared non-deterministic so that a filter on the vector does not run the model twice.
+    return udf.asNondeterministic()(text)
 
 
 def mean_pool(token_rows: DataFrame, by: str, vec: str = "vec", mask: str = "mask") -> DataFrame:

@@ -2,10 +2,10 @@
 
 Every query is compared with every vector it may match. Doing that by a join would
 emit one row per pair, so the scoring runs on Arrow batches instead: a batch of
-vectors is multiplied with the matrix of queries, and each query keeps the best k of
-the batch. What leaves a task is k rows per query and batch, vectors are read where
-they lie and never shuffled, and a value shared by any number of vectors is spread
-over as many tasks as its rows are.
+vectors is multiplied with the matrix of queries, and each query keeps those
+rows that are among the best k the task has met. What leaves a task is little more
+than k rows per query, vectors are read where they lie and never shuffled, and a
+value shared by any number of vectors is spread over as many tasks as its rows are.
 """
 
 from collections.abc import Iterator
@@ -31,7 +31,8 @@ def vector_search(
     on: tuple[str, ...] = (),
     metric: str = "cosine",
     similarity: str = "score",
-    slice_floats: int = 8_000_000,
+    query_rows: int | None = None,
+    slice_rows: int = 16_384,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the nearest vectors for each query.
 
@@ -41,8 +42,9 @@ def vector_search(
     nothing, nor do zero vectors under ``cosine``. Scores are rounded to 6 places, ties
     go to the smaller key.
 
-    Queries are broadcast as a matrix of at most about ``slice_floats`` numbers; larger
-    tables go out in slices, one scan of ``vectors`` each.
+    Queries are broadcast as a matrix of about ``slice_rows`` rows; larger tables go out
+    in slices, one scan of ``vectors`` each. ``query_rows`` is the number of rows in
+    ``queries``, or a bound on it, and is counted if not given.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric}")
@@ -56,9 +58,10 @@ def vector_search(
             StructField("score", DoubleType()),
         ]
     )
-    floats = wanted.agg(F.sum(F.size("vec"))).first()[0] or 0
+    if query_rows is None:
+        query_rows = queries.count()
     scored = []
-    for part in slices(wanted, "query_id", floats, slice_floats):
+    for part in slices(wanted, "query_id", query_rows, slice_rows):
         table = part.toArrow()
         groups: dict[tuple, list[int]] = {}
         for i, value in enumerate(_rows(table, on)):
@@ -108,6 +111,7 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
 
     def best(batches):
         ids, matrix, groups = shared.value
+        reached = np.full((len(matrix), k), -np.inf)  # best scores so far, worst of them first
         for batch in batches:
             if batch.num_rows == 0 or len(matrix) == 0:
                 continue
@@ -125,8 +129,9 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
                 for at in range(0, len(asked), QUERIES_AT_ONCE):
                     block = asked[at : at + QUERIES_AT_ONCE]
                     scores = np.round(x[rows] @ matrix[block].T, 6)
-                    scores = np.where(np.isnan(scores), -np.inf, scores)
-                    chosen, owner = _first_k(scores, k)
+                    so_far = reached[block]
+                    chosen, owner = _first_k(scores, so_far)
+                    reached[block] = so_far
                     if len(chosen) == 0:
                         continue
                     taken = table.select(list(key)).take(pa.array(rows[chosen])).combine_chunks()
@@ -142,17 +147,24 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
     return best
 
 
-def _first_k(scores, k):
-    """Row and column numbers of the k best rows of every column, first rows on ties."""
-    n = len(scores)
-    if n > k:
-        bar = np.partition(scores, n - k, axis=0)[n - k]
-    else:
-        bar = np.full(scores.shape[1], -np.inf)
-    rows, columns = [], []
-    for j in range(scores.shape[1]):
-        near = np.flatnonzero((scores[:, j] >= bar[j]) & (scores[:, j] > -np.inf))
-        order = near[np.argsort(-scores[near, j], kind="stable")[:k]]
-        rows.append(order)
+def _first_k(scores, reached):
+    """Row and column numbers of each column's best k rows that match what was reached.
+
+    The earlier row wins ties. ``reached`` holds k scores per column in ascending order
+    and is brought up to date; NaN scores are never chosen.
+    """
+    k = reached.shape[1]
+    bar = np.maximum(reached[:, 0], np.finfo(np.float64).min)
+    near_any = scores >= bar
+    rows, columns = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for j in np.flatnonzero(near_any.any(axis=0)):
+        near = np.flatnonzero(near_any[:, j])
+        values = scores[near, j]
+        if len(near) > k:
+            best = values >= np.partition(values, len(near) - k)[len(near) - k]
+            near, values = near[best], values[best]
+        order = np.argsort(-values, kind="stable")[:k]
+        reached[j] = np.sort(np.concatenate([reached[j], values[order]]))[-k:]
+        rows.append(near[order])
         columns.append(np.full(len(order), j))
     return np.concatenate(rows), np.concatenate(columns)

@@ -54,9 +54,10 @@ def broadcast_within(df: DataFrame, rows: int, limit: int = 1_000_000) -> DataFr
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Repartition an input that arrives in fewer parts than there are cores.
+    """Repartition a small input, so that heavy work per row is not left to a few tasks.
 
-    A small file is one part, whatever work follows; large inputs are left as they are.
+    A small file may be a single row group, which one task reads however many splits it
+    has. An input of many splits is left as it is: it needs no shuffle to be parallel.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < 4 * cores else df
