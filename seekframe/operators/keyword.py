@@ -26,6 +26,10 @@ from seekframe.operators.rank import top_k
 from seekframe.session import slices, union_all
 
 MAX_BUCKETS = 100_000  # Spark's own limit, spark.sql.sources.bucketing.maxBuckets
+LAYOUT = (
+    "buckets int, columns string, key array<string>, text_fields array<string>,"
+    " keyword_fields array<string>"
+)
 
 
 @dataclass(frozen=True)
@@ -78,7 +82,9 @@ def build_keyword_index(
         .agg(F.count("*").alias("tf"))
     )
     _write_bucketed(counted, f"{path}/counts", buckets, key, [*key, "field"])
-    counts = _open_bucketed(spark, f"{path}/counts", buckets, key, [*key, "field"])
+    counts = _open_bucketed(
+        spark, f"{path}/counts", _columns(counted), buckets, key, [*key, "field"]
+    )
 
     idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
     (
@@ -96,21 +102,18 @@ def build_keyword_index(
         *keep, "field", "term", (raw / F.sqrt(F.sum(raw * raw).over(by_document))).alias("weight")
     )
     _write_bucketed(weighted, f"{path}/postings", buckets, key, ["field", "term"])
-    spark.createDataFrame(
-        [(buckets, list(key), list(text_fields), keyword_fields)],
-        "buckets int, key array<string>, text_fields array<string>, keyword_fields array<string>",
-    ).coalesce(1).write.mode("overwrite").json(f"{path}/layout")
+    layout = (buckets, _columns(weighted), list(key), list(text_fields), keyword_fields)
+    spark.createDataFrame([layout], LAYOUT).write.mode("overwrite").json(f"{path}/layout")
     return open_keyword_index(spark, path)
 
 
 def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     """Open an index written earlier, by any session."""
-    layout = spark.read.schema(
-        "buckets int, key array<string>, text_fields array<string>, keyword_fields array<string>"
-    ).json(f"{path}/layout").first()
+    layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
+    postings = f"{path}/postings"
     return KeywordIndex(
         postings=_open_bucketed(
-            spark, f"{path}/postings", layout.buckets, layout.key, ["field", "term"]
+            spark, postings, layout.columns, layout.buckets, layout.key, ["field", "term"]
         ),
         terms=spark.read.parquet(f"{path}/terms"),
         key=tuple(layout.key),
@@ -127,12 +130,16 @@ def keyword_search(
     filters: Mapping[str, object] | None = None,
     match: tuple[str, ...] = (),
     slice_terms: int = 1_000_000,
+    slice_queries: int = 1_000,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the best documents for each ``(query_id, text)``.
 
     ``filters`` maps keyword fields to one value for all queries; ``match`` names
-    keyword fields that must equal the query's own column of that name. The query
-    terms are broadcast, in slices of about ``slice_terms`` if there are more.
+    keyword fields that must equal the query's own column of that name.
+
+    The query terms are broadcast. Large query tables go out in slices, one scan of the
+    postings each: of about ``slice_terms`` terms, which bounds the broadcast, and of
+    about ``slice_queries`` queries, which bounds the scores a task holds for its bucket.
     """
     boosts = dict(boosts or {})
     unknown = set(boosts) - set(index.text_fields)
@@ -146,10 +153,11 @@ def keyword_search(
     for name, value in (filters or {}).items():
         postings = postings.where(F.col(name) == F.lit(value))
 
-    n_terms = queries.agg(F.sum(F.size(F.array_distinct(tokens(F.col("text")))))).first()[0] or 0
-    size = n_terms * len(index.text_fields)
+    distinct = F.size(F.array_distinct(tokens(F.col("text"))))
+    n_queries, n_terms = queries.agg(F.count("*"), F.coalesce(F.sum(distinct), F.lit(0))).first()
+    share = max(n_terms * len(index.text_fields) / slice_terms, n_queries / slice_queries)
     scored = []
-    for part in slices(queries, "query_id", size, slice_terms):
+    for part in slices(queries, "query_id", share, 1):
         wanted = _query_weights(index, part, boosts, match)
         scored.append(
             postings.join(F.broadcast(wanted), ["field", "term", *match])
@@ -215,13 +223,20 @@ def _write_bucketed(
     df.sparkSession.sql(f"DROP TABLE {name}")  # an external table: the files stay
 
 
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def _open_bucketed(
-    spark: SparkSession, path: str, buckets: int, key: tuple[str, ...], sort: list[str]
+    spark: SparkSession,
+    path: str,
+    columns: str,
+    buckets: int,
+    key: tuple[str, ...],
+    sort: list[str],
 ) -> DataFrame:
     """Read bucketed files with their layout, which Parquet alone does not record."""
     name = f"seekframe_{uuid.uuid4().hex}"
-    schema = spark.read.parquet(path).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet"
         f" CLUSTERED BY ({', '.join(key)}) SORTED BY ({', '.join(sort)})"

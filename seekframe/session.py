@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/seekframe-{sc.applicationId}"
 
 
-def slices(df: DataFrame, key: str, size: int, limit: int) -> list[DataFrame]:
+def slices(df: DataFrame, key: str, size: float, limit: float) -> list[DataFrame]:
     """Cut ``df`` by a hash of ``key`` so that each part is about ``limit`` in size.
 
     ``size`` is the measured size of ``df`` in whatever unit ``limit`` has. This is
