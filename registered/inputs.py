@@ -5,6 +5,7 @@ that searches them. They are written below the shared folder of the session.
 """
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,12 @@ from seekframe.operators.ann import (
 )
 from seekframe.operators.chunk import chunk_documents
 from seekframe.operators.keyword import KeywordIndex, build_keyword_index, open_keyword_index
-from seekframe.session import shared_dir, spread
+from seekframe.session import path_exists, shared_dir, spread
 
 FAQ_TEXT_FIELDS = ["question", "section", "answer"]
 KMEANS_CELLS = 16
 
-_built: set[str] = set()
+_built: set[str] = set()  # paths whose build this process has seen through
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,13 +114,11 @@ def kmeans_ivf(spark: SparkSession, sf_dir: str) -> IvfIndex:
 
 def new_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A place for a table written anew by every run of a query."""
-    path, _ = _place(spark, sf_dir, name)
-    n = sum(1 for p in _built if p.startswith(f"{path}-"))
-    _built.add(f"{path}-{n}")
-    return f"{path}-{n}"
+    path, _ = _place(spark, sf_dir, f"{name}-{uuid.uuid4().hex}")
+    return path
 
 
 def _place(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
     digest = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
     path = f"{shared_dir(spark)}/{digest}/{name}"
-    return path, path in _built
+    return path, path in _built and path_exists(spark, path)

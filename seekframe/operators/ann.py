@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.functions.vectors import norm
 from seekframe.operators.vector import _matrix, vector_search
 
 MAX_CELLS = 65_536  # the centres are broadcast, so their number is bounded
@@ -26,13 +27,20 @@ class IvfIndex:
     cells: int
 
 
-def kmeans_centres(vectors: DataFrame, cells: int, seed: int = 42, max_iter: int = 20) -> DataFrame:
-    """``(cell, vec)`` from k-means under cosine distance over the whole table."""
+def kmeans_centres(
+    vectors: DataFrame, cells: int, seed: int = 42, max_iter: int = 20, fraction: float = 1.0
+) -> DataFrame:
+    """``(cell, vec)`` from k-means under cosine distance.
+
+    ``fraction`` is the share of rows the centres are fitted on; every row is indexed
+    whatever it is, so it touches recall and never the rows of a result.
+    """
     spark = vectors.sparkSession
-    unit = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x) > 0
-    points = vectors.where(F.col("vec").isNotNull() & unit).select(
+    points = vectors.where(norm(F.col("vec")) > 0).select(
         array_to_vector(F.col("vec")).alias("features")
     )
+    if fraction < 1.0:
+        points = points.sample(fraction, seed)
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return spark.createDataFrame(rows, "cell int, vec array<double>")
@@ -69,7 +77,11 @@ def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 def build_ivf_index(
-    vectors: DataFrame, path: str, cells: int | None = None, seed: int = 42,
+    vectors: DataFrame,
+    path: str,
+    cells: int | None = None,
+    seed: int = 42,
+    fraction: float = 1.0,
     centres: DataFrame | None = None,
 ) -> IvfIndex:
     """Write ``vectors`` by cell below ``path``; centres are trained unless given."""
@@ -77,7 +89,7 @@ def build_ivf_index(
     if centres is None:
         if cells is None:
             cells = max(1, min(MAX_CELLS, round(math.sqrt(vectors.count()))))
-        centres = kmeans_centres(vectors, cells, seed)
+        centres = kmeans_centres(vectors, cells, seed, fraction=fraction)
     centres.coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
     stored = spark.read.parquet(f"{path}/centres")
     # Rebalancing splits a cell that holds much of the table and merges small ones.

@@ -98,7 +98,7 @@ def build_keyword_index(
 
     by_document = Window.partitionBy(*key, "field")
     raw = F.col("tf") * F.col("idf")
-    weighted = _with_idf(counts, terms, broadcast_terms).select(
+    weighted = _with_idf(counts, terms, buckets, key, broadcast_terms).select(
         *keep, "field", "term", (raw / F.sqrt(F.sum(raw * raw).over(by_document))).alias("weight")
     )
     _write_bucketed(weighted, f"{path}/postings", buckets, key, ["field", "term"])
@@ -178,7 +178,7 @@ def _query_weights(
         .agg(F.count("*").alias("tf"))
     )
     raw = F.col("tf") * F.col("idf")
-    per_query = Window.partitionBy("query_id", "field")
+    per_query = Window.partitionBy("query_id", *match, "field")
     boost: Column = F.lit(1.0)
     for field, factor in boosts.items():
         boost = F.when(F.col("field") == field, F.lit(float(factor))).otherwise(boost)
@@ -189,13 +189,16 @@ def _query_weights(
     )
 
 
-def _with_idf(counts: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
-    """Add ``idf`` to every posting without shuffling the common terms.
+def _with_idf(
+    counts: DataFrame, terms: DataFrame, buckets: int, key: tuple[str, ...], limit: int
+) -> DataFrame:
+    """Add ``idf`` to every posting without shuffling the common terms by term.
 
     Document frequencies add up to the number of postings P, so at most ``limit``
     terms can have ``df >= P / limit``: those are broadcast, whatever the corpus.
     A term below that bound has few postings, so joining the rest by term has no
-    hot key. When the whole vocabulary is within ``limit`` nothing is left to shuffle.
+    hot key; all postings then return to their document's bucket in one shuffle. When the
+    whole vocabulary is within ``limit``, they never leave it.
     """
     n_terms, n_postings = terms.agg(F.count("*"), F.sum("df")).first()
     idf = terms.select("field", "term", "df", "idf")
@@ -205,7 +208,8 @@ def _with_idf(counts: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
     hot = F.broadcast(idf.where(common).drop("df"))
     rare = idf.where(~common).drop("df")
     tail = counts.join(hot.drop("idf"), ["field", "term"], "left_anti")
-    return counts.join(hot, ["field", "term"]).unionByName(tail.join(rare, ["field", "term"]))
+    resolved = counts.join(hot, ["field", "term"]).unionByName(tail.join(rare, ["field", "term"]))
+    return resolved.repartition(buckets, *key)
 
 
 def _write_bucketed(
@@ -220,7 +224,7 @@ def _write_bucketed(
         .option("path", path)
         .saveAsTable(name)
     )
-    df.sparkSession.sql(f"DROP TABLE {name}")  # an external table: the files stay
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the files stay, as the table is external
 
 
 def _columns(df: DataFrame) -> str:
@@ -242,4 +246,6 @@ def _open_bucketed(
         f" CLUSTERED BY ({', '.join(key)}) SORTED BY ({', '.join(sort)})"
         f" INTO {buckets} BUCKETS LOCATION '{path}'"
     )
-    return spark.table(name)
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its layout is in the plan now; the files stay
+    return df

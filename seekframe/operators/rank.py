@@ -28,7 +28,7 @@ def dense_number(
     first, their running totals give each run its offset, and rows are numbered
     within their run only, so no task ever holds more than ``span`` rows of a group.
     """
-    cut = rows.withColumn("_run", F.floor(F.col(order) / F.lit(span)))
+    cut = rows.withColumn("_run", F.col(order) - F.pmod(F.col(order), F.lit(span)))
     earlier = Window.partitionBy(by).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(by, "_run")

@@ -27,6 +27,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/seekframe-{sc.applicationId}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def slices(df: DataFrame, key: str, size: float, limit: float) -> list[DataFrame]:
     """Cut ``df`` by a hash of ``key`` so that each part is about ``limit`` in size.
 

@@ -4,12 +4,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions.vectors import checked_width, vector_literal
+from seekframe.session import path_exists
 
 
 def with_vectors(docs: DataFrame, vectors: DataFrame, width: int, key: str = "doc_id") -> DataFrame:
-    """Documents with their ``vec``.
+    """Documents with their ``vec``, which arrive as two tables.
 
-    Whoever computes the result fails on a document without vector, a vector without
+    Vectors computed from the documents need no join: add them as a column. Whoever computes the result fails on a document without vector, a vector without
     document, or a vector that is not ``width`` wide.
     """
     joined = (
@@ -52,14 +53,13 @@ def export_literals(vectors: DataFrame, path: str, vec: str = "vec") -> None:
 
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
     """Version numbers below ``root``, and whether each has been committed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    if not path_exists(spark, root):
         return {}
-    found = {}
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("version="):
-            done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            found[int(name.removeprefix("version="))] = files.exists(done)
-    return found
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in listed]
+    return {
+        int(name.removeprefix("version=")): path_exists(spark, f"{root}/{name}/_SUCCESS")
+        for name in names
+        if name.startswith("version=")
+    }
