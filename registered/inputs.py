@@ -27,6 +27,11 @@ KMEANS_CELLS = 16
 _built: set[str] = set()  # paths whose build this process has seen through
 
 
+def forget() -> None:
+    """Have every derived table built anew at its next use."""
+    _built.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -81,10 +81,8 @@ def build_keyword_index(
         .groupBy(*keep, "field", "term")
         .agg(F.count("*").alias("tf"))
     )
-    _write_bucketed(counted, f"{path}/counts", buckets, key, [*key, "field"])
-    counts = _open_bucketed(
-        spark, f"{path}/counts", _columns(counted), buckets, key, [*key, "field"]
-    )
+    _write_bucketed(counted, f"{path}/counts", buckets, key)
+    counts = _open_bucketed(spark, f"{path}/counts", _columns(counted), buckets, key)
 
     idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
     (
@@ -101,7 +99,7 @@ def build_keyword_index(
     weighted = _with_idf(counts, terms, buckets, key, broadcast_terms).select(
         *keep, "field", "term", (raw / F.sqrt(F.sum(raw * raw).over(by_document))).alias("weight")
     )
-    _write_bucketed(weighted, f"{path}/postings", buckets, key, ["field", "term"])
+    _write_bucketed(weighted, f"{path}/postings", buckets, key)
     layout = (buckets, _columns(weighted), list(key), list(text_fields), keyword_fields)
     spark.createDataFrame([layout], LAYOUT).write.mode("overwrite").json(f"{path}/layout")
     return open_keyword_index(spark, path)
@@ -110,10 +108,9 @@ def build_keyword_index(
 def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     """Open an index written earlier, by any session."""
     layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
-    postings = f"{path}/postings"
     return KeywordIndex(
         postings=_open_bucketed(
-            spark, postings, layout.columns, layout.buckets, layout.key, ["field", "term"]
+            spark, f"{path}/postings", layout.columns, layout.buckets, layout.key
         ),
         terms=spark.read.parquet(f"{path}/terms"),
         key=tuple(layout.key),
@@ -212,14 +209,11 @@ def _with_idf(
     return resolved.repartition(buckets, *key)
 
 
-def _write_bucketed(
-    df: DataFrame, path: str, buckets: int, key: tuple[str, ...], sort: list[str]
-) -> None:
+def _write_bucketed(df: DataFrame, path: str, buckets: int, key: tuple[str, ...]) -> None:
     name = f"seekframe_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, *key)
         .write.bucketBy(buckets, *key)
-        .sortBy(*sort)
         .mode("overwrite")
         .option("path", path)
         .saveAsTable(name)
@@ -232,19 +226,13 @@ def _columns(df: DataFrame) -> str:
 
 
 def _open_bucketed(
-    spark: SparkSession,
-    path: str,
-    columns: str,
-    buckets: int,
-    key: tuple[str, ...],
-    sort: list[str],
+    spark: SparkSession, path: str, columns: str, buckets: int, key: tuple[str, ...]
 ) -> DataFrame:
     """Read bucketed files with their layout, which Parquet alone does not record."""
     name = f"seekframe_{uuid.uuid4().hex}"
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet"
-        f" CLUSTERED BY ({', '.join(key)}) SORTED BY ({', '.join(sort)})"
-        f" INTO {buckets} BUCKETS LOCATION '{path}'"
+        f" CLUSTERED BY ({', '.join(key)}) INTO {buckets} BUCKETS LOCATION '{path}'"
     )
     df = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # its layout is in the plan now; the files stay
