@@ -27,8 +27,8 @@ from seekframe.session import slices, union_all
 
 MAX_BUCKETS = 100_000  # Spark's own limit, spark.sql.sources.bucketing.maxBuckets
 LAYOUT = (
-    "buckets int, columns string, key array<string>, text_fields array<string>,"
-    " keyword_fields array<string>"
+    "buckets int, bucket_docs long, columns string, key array<string>,"
+    " text_fields array<string>, keyword_fields array<string>"
 )
 
 
@@ -41,6 +41,7 @@ class KeywordIndex:
     key: tuple[str, ...]
     text_fields: tuple[str, ...]
     keyword_fields: tuple[str, ...]
+    bucket_docs: int  # documents in a bucket, about
 
 
 def field_terms(docs: DataFrame, text_fields: list[str], keep: list[str]) -> DataFrame:
@@ -100,7 +101,9 @@ def build_keyword_index(
         *keep, "field", "term", (raw / F.sqrt(F.sum(raw * raw).over(by_document))).alias("weight")
     )
     _write_bucketed(weighted, f"{path}/postings", buckets, key)
-    layout = (buckets, _columns(weighted), list(key), list(text_fields), keyword_fields)
+    bucket_docs = math.ceil(n_docs / buckets)
+    columns = _columns(weighted)
+    layout = (buckets, bucket_docs, columns, list(key), list(text_fields), keyword_fields)
     spark.createDataFrame([layout], LAYOUT).write.mode("overwrite").json(f"{path}/layout")
     return open_keyword_index(spark, path)
 
@@ -116,6 +119,7 @@ def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
         key=tuple(layout.key),
         text_fields=tuple(layout.text_fields),
         keyword_fields=tuple(layout.keyword_fields),
+        bucket_docs=layout.bucket_docs,
     )
 
 
@@ -127,7 +131,7 @@ def keyword_search(
     filters: Mapping[str, object] | None = None,
     match: tuple[str, ...] = (),
     slice_terms: int = 1_000_000,
-    slice_queries: int = 1_000,
+    task_scores: int = 50_000_000,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the best documents for each ``(query_id, text)``.
 
@@ -135,8 +139,8 @@ def keyword_search(
     keyword fields that must equal the query's own column of that name.
 
     The query terms are broadcast. Large query tables go out in slices, one scan of the
-    postings each: of about ``slice_terms`` terms, which bounds the broadcast, and of
-    about ``slice_queries`` queries, which bounds the scores a task holds for its bucket.
+    postings each: of about ``slice_terms`` terms, which bounds the broadcast, and of so
+    many queries that a task holds about ``task_scores`` scores for its bucket at most.
     """
     boosts = dict(boosts or {})
     unknown = set(boosts) - set(index.text_fields)
@@ -152,9 +156,12 @@ def keyword_search(
 
     distinct = F.size(F.array_distinct(tokens(F.col("text"))))
     n_queries, n_terms = queries.agg(F.count("*"), F.coalesce(F.sum(distinct), F.lit(0))).first()
-    share = max(n_terms * len(index.text_fields) / slice_terms, n_queries / slice_queries)
+    n_slices = max(
+        n_terms * len(index.text_fields) / slice_terms,
+        n_queries * index.bucket_docs / task_scores,
+    )
     scored = []
-    for part in slices(queries, "query_id", share, 1):
+    for part in slices(queries, "query_id", n_slices, 1):
         wanted = _query_weights(index, part, boosts, match)
         scored.append(
             postings.join(F.broadcast(wanted), ["field", "term", *match])
