@@ -18,6 +18,7 @@ from seekframe.operators.fuse import (
     ranked_names,
     reciprocal_rank_fusion,
 )
+from seekframe.operators import keyword
 from seekframe.operators.keyword import keyword_search
 from seekframe.operators.vector import vector_search
 from seekframe.plans import messages as msg
@@ -106,7 +107,7 @@ def term_stats(spark, sf):
 
 @query
 def postings(spark, sf):
-    rows = inputs.faq_index(spark, sf).postings
+    rows = keyword.postings(inputs.faq_index(spark, sf))
     return rows.select("doc_id", "course", "field", "term", F.round("weight", 6).alias("weight"))
 
 

@@ -33,7 +33,8 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
         code = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         dim = (code >> 8) % dims
         sign = np.where(code & 8, -1.0, 1.0)
-        counts = np.bincount(row * dims + dim, weights=sign, minlength=n * dims).reshape(n, dims)
+        counts = np.bincount(row * dims + dim, weights=sign, minlength=n * dims)
+        counts = counts.astype(np.float64).reshape(n, dims)
         length = np.sqrt((counts * counts).sum(axis=1))
         empty = (length == 0) & normalize
         if normalize:

@@ -13,45 +13,38 @@ Scoring is TF-IDF cosine per text field (Salton and Buckley, 1988):
 Filters remove candidates and leave the statistics alone.
 """
 
-import math
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from seekframe.functions.text import required, tokens
 from seekframe.operators.rank import top_k
-from seekframe.session import slices, union_all
+from seekframe.operators.vector import first_k
+from seekframe.session import slices, spread, union_all
 
-MAX_BUCKETS = 100_000  # Spark's own limit, spark.sql.sources.bucketing.maxBuckets
-LAYOUT = (
-    "buckets int, bucket_docs long, columns string, key array<string>,"
-    " text_fields array<string>, keyword_fields array<string>"
-)
+LAYOUT = "key array<string>, text_fields array<string>, keyword_fields array<string>"
+SCORES_AT_ONCE = 4_000_000  # size of a score block, to bound its memory
 
 
 @dataclass(frozen=True)
 class KeywordIndex:
-    """An index that has been written: postings by document, statistics by term."""
+    """An index that has been written.
 
-    postings: DataFrame  # *key, *keyword_fields, field, term, weight
+    ``documents`` holds ``(*key, *keyword_fields)`` and for each text field a struct of
+    its distinct ``terms``, their counts ``tf`` and the ``norm`` of its weights.
+    """
+
+    documents: DataFrame
     terms: DataFrame  # field, term, df, idf
     key: tuple[str, ...]
     text_fields: tuple[str, ...]
     keyword_fields: tuple[str, ...]
-    bucket_docs: int  # documents in a bucket, about
-
-
-def field_terms(docs: DataFrame, text_fields: list[str], keep: list[str]) -> DataFrame:
-    """``(*keep, field, term)``, one row per token of every text field."""
-    texts = F.array(
-        *[F.struct(F.lit(f).alias("field"), required(f).alias("text")) for f in text_fields]
-    )
-    return docs.select(*keep, F.inline(texts)).select(
-        *keep, "field", F.explode(tokens(F.col("text"))).alias("term")
-    )
 
 
 def build_keyword_index(
@@ -60,50 +53,35 @@ def build_keyword_index(
     text_fields: list[str],
     keyword_fields: list[str] | None = None,
     key: tuple[str, ...] = ("doc_id",),
-    docs_per_bucket: int = 50_000,
     broadcast_terms: int = 500_000,
 ) -> KeywordIndex:
-    """Write the index of ``docs`` below ``path`` and open it.
+    """Write the index of ``docs``, whose ``key`` must be unique, below ``path`` and open it.
 
-    ``docs`` is counted once and read once, so hand in a stored table. ``key`` must
-    be unique. Postings are bucketed by document: every later sum per document runs
-    where its postings lie, and neither build nor search shuffles them again.
+    Texts are read once and counted where they are read.
     """
     spark = docs.sparkSession
-    keyword_fields = list(keyword_fields or [])
-    keep = [*key, *keyword_fields]
-    n_docs = docs.count()
-    buckets = max(spark.sparkContext.defaultParallelism, math.ceil(n_docs / docs_per_bucket))
-    buckets = min(buckets, MAX_BUCKETS)
-
-    # Texts move once, spread by the unique key, so tokenising and counting are narrow after it.
-    counted = (
-        field_terms(docs.repartition(buckets, *key), text_fields, keep)
-        .groupBy(*keep, "field", "term")
-        .agg(F.count("*").alias("tf"))
+    keep = [*key, *(keyword_fields or [])]
+    (
+        spread(docs.select(*keep, *text_fields), *key)
+        .select(*keep, *[count_terms(tokens(required(f))).alias(f) for f in text_fields])
+        .write.mode("overwrite")
+        .parquet(f"{path}/counts")
     )
-    _write_bucketed(counted, f"{path}/counts", buckets, key)
-    counts = _open_bucketed(spark, f"{path}/counts", _columns(counted), buckets, key)
+    counts = spark.read.parquet(f"{path}/counts")
 
-    idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
     (
-        counts.groupBy("field", "term")
+        _exploded(counts, text_fields, [])
+        .groupBy("field", "term")
         .agg(F.count("*").alias("df"))
-        .withColumn("idf", idf)
+        .withColumn("idf", F.log(F.lit(1.0 + counts.count()) / (1 + F.col("df"))) + 1)
         .write.mode("overwrite")
         .parquet(f"{path}/terms")
     )
     terms = spark.read.parquet(f"{path}/terms")
 
-    by_document = Window.partitionBy(*key, "field")
-    raw = F.col("tf") * F.col("idf")
-    weighted = _with_idf(counts, terms, buckets, key, broadcast_terms).select(
-        *keep, "field", "term", (raw / F.sqrt(F.sum(raw * raw).over(by_document))).alias("weight")
-    )
-    _write_bucketed(weighted, f"{path}/postings", buckets, key)
-    bucket_docs = math.ceil(n_docs / buckets)
-    columns = _columns(weighted)
-    layout = (buckets, bucket_docs, columns, list(key), list(text_fields), keyword_fields)
+    documents = _with_norms(counts, terms, text_fields, key, broadcast_terms)
+    documents.write.mode("overwrite").parquet(f"{path}/documents")
+    layout = (list(key), list(text_fields), list(keyword_fields or []))
     spark.createDataFrame([layout], LAYOUT).write.mode("overwrite").json(f"{path}/layout")
     return open_keyword_index(spark, path)
 
@@ -112,17 +90,27 @@ def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     """Open an index written earlier, by any session."""
     layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
     return KeywordIndex(
-        postings=_open_bucketed(
-            spark, f"{path}/postings", layout.columns, layout.buckets, layout.key
-        ),
+        documents=spark.read.parquet(f"{path}/documents"),
         terms=spark.read.parquet(f"{path}/terms"),
         key=tuple(layout.key),
         text_fields=tuple(layout.text_fields),
         keyword_fields=tuple(layout.keyword_fields),
-        bucket_docs=layout.bucket_docs,
     )
 
 
+def postings(index: KeywordIndex, broadcast_terms: int = 500_000) -> DataFrame:
+    """``(*key, *keyword_fields, field, term, weight)``, one row per term of a document."""
+    keep = [*index.key, *index.keyword_fields]
+    rows = _exploded(index.documents, index.text_fields, keep)
+    common, rare = _by_frequency(index.terms, broadcast_terms)
+    weight = F.col("tf") * F.col("idf") / F.col("norm")
+    parts = [rows.join(common, ["field", "term"])]
+    if rare is not None:
+        rest = rows.join(common.drop("idf"), ["field", "term"], "left_anti")
+        parts.append(rest.join(rare, ["field", "term"]))
+    return union_all(parts).select(*keep, "field", "term", weight.alias("weight"))
+
+
 def keyword_search(
     index: KeywordIndex,
     queries: DataFrame,
@@ -131,16 +119,17 @@ def keyword_search(
     filters: Mapping[str, object] | None = None,
     match: tuple[str, ...] = (),
     slice_terms: int = 1_000_000,
-    task_scores: int = 50_000_000,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the best documents for each ``(query_id, text)``.
 
     ``filters`` maps keyword fields to one value for all queries; ``match`` names
     keyword fields that must equal the query's own column of that name.
 
-    The query terms are broadcast. Large query tables go out in slices, one scan of the
-    postings each: of about ``slice_terms`` terms, which bounds the broadcast, and of so
-    many queries that a task holds about ``task_scores`` scores for its bucket at most.
+    Joining query terms to postings would emit a row for every query and document that
+    share a word, which for common words is nearly all of them. The documents are scored
+    in Arrow batches instead, against the broadcast query terms, and a task emits only
+    rows that reach the best k it has met. Query tables with more than ``slice_terms``
+    terms go out in slices, one scan of the documents each.
     """
     boosts = dict(boosts or {})
     unknown = set(boosts) - set(index.text_fields)
@@ -150,34 +139,167 @@ def keyword_search(
     if not_keyword:
         raise ValueError(f"filter on a field that is not a keyword: {sorted(not_keyword)}")
 
-    postings = index.postings
+    documents = index.documents.select(*index.key, *index.keyword_fields, *index.text_fields)
     for name, value in (filters or {}).items():
-        postings = postings.where(F.col(name) == F.lit(value))
-
-    distinct = F.size(F.array_distinct(tokens(F.col("text"))))
-    n_queries, n_terms = queries.agg(F.count("*"), F.coalesce(F.sum(distinct), F.lit(0))).first()
-    n_slices = max(
-        n_terms * len(index.text_fields) / slice_terms,
-        n_queries * index.bucket_docs / task_scores,
+        documents = documents.where(F.col(name) == F.lit(value))
+    documents = documents.select(*index.key, *match, *index.text_fields)
+    schema = StructType(
+        [
+            queries.schema["query_id"],
+            *[documents.schema[k] for k in index.key],
+            StructField("score", DoubleType()),
+        ]
     )
+    distinct = F.size(F.array_distinct(tokens(F.col("text"))))
+    n_terms = queries.agg(F.sum(distinct)).first()[0] or 0
     scored = []
-    for part in slices(queries, "query_id", n_slices, 1):
-        wanted = _query_weights(index, part, boosts, match)
-        scored.append(
-            postings.join(F.broadcast(wanted), ["field", "term", *match])
-            .groupBy("query_id", *index.key)
-            .agg(F.round(F.sum(F.col("weight") * F.col("query_weight")), 6).alias("score"))
-            .where(F.col("score") > 0)
+    for part in slices(queries, "query_id", n_terms * len(index.text_fields), slice_terms):
+        weights = _query_weights(index, part, boosts, match).toArrow()
+        shared = documents.sparkSession.sparkContext.broadcast(
+            _query_matrix(weights, index.text_fields, match)
         )
+        best = _best_of_batches(shared, index.key, index.text_fields, match, num_results)
+        scored.append(documents.mapInArrow(best, schema))
     return top_k(union_all(scored), num_results, [F.desc("score"), *map(F.asc, index.key)])
 
 
+def count_terms(token_array: Column) -> Column:
+    """STRUCT<terms, tf>: the distinct tokens of an array and how often each occurs."""
+
+    def count(lists):
+        n = len(lists)
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(n), sizes)
+        encoded = lists.flatten().dictionary_encode()
+        width = max(1, len(encoded.dictionary))
+        code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pairs, tf = np.unique(row * width + code, return_counts=True)
+        ends = np.searchsorted(pairs, np.arange(n + 1) * width).astype(np.int32)
+        terms = encoded.dictionary.take(pa.array(pairs % width))
+        return pa.StructArray.from_arrays(
+            [
+                pa.ListArray.from_arrays(pa.array(ends), terms),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(tf.astype(np.int32))),
+            ],
+            names=["terms", "tf"],
+        )
+
+    counter = F.arrow_udf(count, "struct<terms: array<string>, tf: array<int>>")
+    return counter.asNondeterministic()(token_array)
+
+
+def _exploded(documents: DataFrame, text_fields: list[str], keep: list[str]) -> DataFrame:
+    """``(*keep, field, norm, term, tf)`` from the structs of the text fields."""
+    has_norm = "norm" in documents.schema[text_fields[0]].dataType.fieldNames()
+    fields = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("field"),
+                F.arrays_zip(F.col(f)["terms"].alias("term"), F.col(f)["tf"].alias("tf")).alias("z"),
+                (F.col(f)["norm"] if has_norm else F.lit(0.0)).alias("norm"),
+            )
+            for f in text_fields
+        ]
+    )
+    rows = documents.select(*keep, F.inline(fields))
+    return rows.select(*keep, "field", "norm", F.inline("z"))
+
+
+def _by_frequency(terms: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(field, term, idf)`` of the common terms, to broadcast, and of the rare ones.
+
+    Document frequencies add up to the number of postings P, so at most ``limit``
+    terms can have ``df >= P / limit``, whatever the corpus. A term below that bound has
+    few postings, so joining the rare ones by term has no hot key. When the whole
+    vocabulary is within ``limit`` there are no rare terms.
+    """
+    n_terms, n_postings = terms.agg(F.count("*"), F.sum("df")).first()
+    idf = terms.select("field", "term", "idf")
+    if n_terms <= limit:
+        return F.broadcast(idf), None
+    common = F.col("df") >= -(-n_postings // limit)
+    named = ["field", "term", "idf"]
+    return F.broadcast(terms.where(common).select(named)), terms.where(~common).select(named)
+
+
+def _with_norms(
+    counts: DataFrame, terms: DataFrame, text_fields: list[str], key: tuple[str, ...], limit: int
+) -> DataFrame:
+    """Add the ``norm`` of every text field: the root of its summed ``(tf * idf)^2``.
+
+    The share of common terms is summed where the documents lie. Only rare terms are
+    joined by term, and only then do documents move, to meet the sums of their rare terms.
+    """
+    others = [c for c in counts.columns if c not in text_fields]
+    common, rare = _by_frequency(terms, limit)
+    table = common.toArrow()
+    known = {}
+    for f in text_fields:
+        part = table.filter(pc.equal(table["field"], f))
+        known[f] = (part["term"].combine_chunks(), part["idf"].to_numpy())
+    shared = counts.sparkSession.sparkContext.broadcast(known)
+
+    def squares(field):
+        def of(terms_list, tf_list):
+            vocabulary, idf = shared.value[field]
+            n = len(terms_list)
+            sizes = terms_list.value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(n), sizes)
+            at = pc.index_in(terms_list.flatten(), value_set=vocabulary)
+            found = at.is_valid().to_numpy(zero_copy_only=False)
+            weight = tf_list.flatten().to_numpy(zero_copy_only=False)[found]
+            weight = weight * idf[at.drop_null().to_numpy(zero_copy_only=False)]
+            total = np.bincount(row[found], weights=weight * weight, minlength=n)
+            return pa.array(total.astype(np.float64))
+
+        return F.arrow_udf(of, "double").asNondeterministic()(
+            F.col(field)["terms"], F.col(field)["tf"]
+        )
+
+    sums = [f"_squares_{i}" for i in range(len(text_fields))]
+    summed = counts.select("*", *[squares(f).alias(s) for f, s in zip(text_fields, sums)])
+    if rare is not None:
+        weight = F.col("tf") * F.col("idf")
+        rest = (
+            _exploded(counts, text_fields, list(key))
+            .join(common.drop("idf"), ["field", "term"], "left_anti")
+            .join(rare, ["field", "term"])
+            .groupBy(*key)
+            .agg(
+                *[
+                    F.sum(F.when(F.col("field") == f, weight * weight)).alias(f"_more{s}")
+                    for f, s in zip(text_fields, sums)
+                ]
+            )
+        )
+        more = [F.coalesce(F.col(f"_more{s}"), F.lit(0.0)) for s in sums]
+        summed = summed.join(rest, list(key), "left").select(
+            *counts.columns, *[(F.col(s) + m).alias(s) for s, m in zip(sums, more)]
+        )
+    return summed.select(
+        *others,
+        *[
+            F.struct(
+                F.col(f)["terms"].alias("terms"),
+                F.col(f)["tf"].alias("tf"),
+                F.sqrt(F.col(s)).alias("norm"),
+            ).alias(f)
+            for f, s in zip(text_fields, sums)
+        ],
+    )
+
+
 def _query_weights(
     index: KeywordIndex, queries: DataFrame, boosts: Mapping[str, float], match: tuple[str, ...]
 ) -> DataFrame:
-    """``(query_id, *match, field, term, query_weight)``, boost and query norm folded in."""
+    """``(query_id, *match, field, term, query_weight)``.
+
+    The weight takes in the boost, the query norm and the idf of the document's side, so
+    that a document adds ``query_weight * tf / norm``.
+    """
     tf = (
-        queries.select("query_id", *match, F.explode(tokens(F.col("text"))).alias("term"))
+        queries.dropna(subset=list(match))
+        .select("query_id", *match, F.explode(tokens(F.col("text"))).alias("term"))
         .groupBy("query_id", *match, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -186,61 +308,95 @@ def _query_weights(
     boost: Column = F.lit(1.0)
     for field, factor in boosts.items():
         boost = F.when(F.col("field") == field, F.lit(float(factor))).otherwise(boost)
+    weight = boost * raw / F.sqrt(F.sum(raw * raw).over(per_query)) * F.col("idf")
     return (
         index.terms.join(F.broadcast(tf), "term")
-        .withColumn("query_weight", boost * raw / F.sqrt(F.sum(raw * raw).over(per_query)))
-        .select("query_id", *match, "field", "term", "query_weight")
+        .select("query_id", *match, "field", "term", weight.alias("query_weight"))
     )
 
 
-def _with_idf(
-    counts: DataFrame, terms: DataFrame, buckets: int, key: tuple[str, ...], limit: int
-) -> DataFrame:
-    """Add ``idf`` to every posting without shuffling the common terms by term.
-
-    Document frequencies add up to the number of postings P, so at most ``limit``
-    terms can have ``df >= P / limit``: those are broadcast, whatever the corpus.
-    A term below that bound has few postings, so joining the rest by term has no
-    hot key; all postings then return to their document's bucket in one shuffle. When the
-    whole vocabulary is within ``limit``, they never leave it.
-    """
-    n_terms, n_postings = terms.agg(F.count("*"), F.sum("df")).first()
-    idf = terms.select("field", "term", "df", "idf")
-    if n_terms <= limit:
-        return counts.join(F.broadcast(idf.drop("df")), ["field", "term"])
-    common = F.col("df") >= math.ceil(n_postings / limit)
-    hot = F.broadcast(idf.where(common).drop("df"))
-    rare = idf.where(~common).drop("df")
-    tail = counts.join(hot.drop("idf"), ["field", "term"], "left_anti")
-    resolved = counts.join(hot, ["field", "term"]).unionByName(tail.join(rare, ["field", "term"]))
-    return resolved.repartition(buckets, *key)
-
-
-def _write_bucketed(df: DataFrame, path: str, buckets: int, key: tuple[str, ...]) -> None:
-    name = f"seekframe_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, *key)
-        .write.bucketBy(buckets, *key)
-        .mode("overwrite")
-        .option("path", path)
-        .saveAsTable(name)
-    )
-    df.sparkSession.sql(f"DROP TABLE {name}")  # the files stay, as the table is external
-
-
-def _columns(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
-
-def _open_bucketed(
-    spark: SparkSession, path: str, columns: str, buckets: int, key: tuple[str, ...]
-) -> DataFrame:
-    """Read bucketed files with their layout, which Parquet alone does not record."""
-    name = f"seekframe_{uuid.uuid4().hex}"
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet"
-        f" CLUSTERED BY ({', '.join(key)}) INTO {buckets} BUCKETS LOCATION '{path}'"
+def _query_matrix(weights, text_fields: tuple[str, ...], match: tuple[str, ...]):
+    """Query ids, match values, and per field the terms with the queries that hold them."""
+    asked = weights.select(["query_id", *match]).group_by(["query_id", *match]).aggregate([])
+    values = list(zip(*[asked[c].to_pylist() for c in ["query_id", *match]]))
+    number = {value: i for i, value in enumerate(values)}
+    query = np.array(
+        [number[v] for v in zip(*[weights[c].to_pylist() for c in ["query_id", *match]])],
+        dtype=np.int64,
     )
-    df = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # its layout is in the plan now; the files stay
-    return df
+    by_field = {}
+    for f in text_fields:
+        mask = pc.equal(weights["field"], f)
+        encoded = weights["term"].filter(mask).combine_chunks().dictionary_encode()
+        code = encoded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        starts = np.searchsorted(code[order], np.arange(len(encoded.dictionary) + 1))
+        rows = mask.to_numpy(zero_copy_only=False) if len(mask) else np.empty(0, bool)
+        weight = weights["query_weight"].to_numpy()[rows]
+        by_field[f] = (encoded.dictionary, starts, query[rows][order], weight[order])
+    return asked["query_id"].combine_chunks(), [v[1:] for v in values], by_field
+
+
+def _best_of_batches(
+    shared, key: tuple[str, ...], text_fields: tuple[str, ...], match: tuple[str, ...], k: int
+):
+    """Function for ``mapInArrow``: score every batch and pass on the best k per query."""
+
+    def best(batches):
+        ids, wanted, by_field = shared.value
+        reached = np.full((len(ids), k), -np.inf)  # best scores so far, worst of them first
+        groups = {value: i for i, value in enumerate(dict.fromkeys(wanted))}
+        asked_group = np.array([groups[value] for value in wanted])
+        step = max(1, SCORES_AT_ONCE // max(1, len(ids)))
+        for batch in batches:
+            for at in range(0, batch.num_rows if len(ids) else 0, step):
+                table = pa.Table.from_batches([batch.slice(at, step)])
+                # Rows in key order make every later "first of the best" the smallest key.
+                order = pc.sort_indices(table, [(c, "ascending") for c in key]).to_numpy()
+                place = np.argsort(order)
+                scores = sum(
+                    _field_scores(table[f].combine_chunks(), by_field[f], place, len(ids))
+                    for f in text_fields
+                )
+                scores = np.round(scores, 6)
+                scores[scores <= 0] = -np.inf
+                if match:
+                    values = zip(*[table[c].to_pylist() for c in match])
+                    group = np.array([groups.get(v, -1) for v in values])[order]
+                    scores[group[:, None] != asked_group[None, :]] = -np.inf
+                chosen, owner = first_k(scores, reached)
+                if len(chosen) == 0:
+                    continue
+                taken = table.select(list(key)).take(pa.array(order[chosen])).combine_chunks()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(owner)),
+                        *[taken[c].combine_chunks() for c in key],
+                        pa.array(scores[chosen, owner]),
+                    ],
+                    names=["query_id", *key, "score"],
+                )
+
+    return best
+
+
+def _field_scores(field, query_terms, place, n_queries: int):
+    """Scores of one text field, a row per document (at its ``place``), a column per query."""
+    vocabulary, starts, queries, weights = query_terms
+    terms, tf, norm = (field.field(name) for name in ("terms", "tf", "norm"))
+    n = len(field)
+    row = np.repeat(np.arange(n), terms.value_lengths().to_numpy(zero_copy_only=False))
+    at = pc.index_in(terms.flatten(), value_set=vocabulary)
+    found = at.is_valid().to_numpy(zero_copy_only=False)
+    code = at.drop_null().to_numpy(zero_copy_only=False)
+    row = row[found]
+    share = tf.flatten().to_numpy(zero_copy_only=False)[found]
+    share = share / norm.to_numpy(zero_copy_only=False)[row]
+    # Each term found meets all queries that hold it: entries starts[code] up to the next start.
+    times = starts[code + 1] - starts[code]
+    first = np.repeat(starts[code] - np.cumsum(times) + times, times)
+    entry = first + np.arange(len(first))
+    cell = np.repeat(place[row] * n_queries, times) + queries[entry]
+    product = np.repeat(share, times) * weights[entry]
+    scores = np.bincount(cell, weights=product, minlength=n * n_queries).astype(np.float64)
+    return scores.reshape(n, n_queries)

@@ -130,7 +130,7 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
                     block = asked[at : at + QUERIES_AT_ONCE]
                     scores = np.round(x[rows] @ matrix[block].T, 6)
                     so_far = reached[block]
-                    chosen, owner = _first_k(scores, so_far)
+                    chosen, owner = first_k(scores, so_far)
                     reached[block] = so_far
                     if len(chosen) == 0:
                         continue
@@ -147,7 +147,7 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
     return best
 
 
-def _first_k(scores, reached):
+def first_k(scores, reached):
     """Row and column numbers of each column's best k rows that match what was reached.
 
     The earlier row wins ties. ``reached`` holds k scores per column in ascending order

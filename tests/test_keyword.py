@@ -4,7 +4,12 @@ from collections import Counter
 
 import pytest
 
-from seekframe.operators.keyword import build_keyword_index, keyword_search, open_keyword_index
+from seekframe.operators.keyword import (
+    build_keyword_index,
+    keyword_search,
+    open_keyword_index,
+    postings,
+)
 
 DOCS = [
     (1, "a", "red apple", "an apple that is red"),
@@ -95,19 +100,26 @@ def test_filter_by_the_query_s_own_value(spark, index):
     assert got == brute_force(QUERIES[:1], 5, course="a") | brute_force(QUERIES[1:], 5, course="b")
 
 
-def test_slices_and_reopening_change_nothing(spark, index, docs, tmp_path):
-    build_keyword_index(docs, str(tmp_path / "x"), FIELDS, ["course"], docs_per_bucket=1)
+def test_slices_batches_and_reopening_change_nothing(spark, docs, tmp_path):
+    build_keyword_index(docs, str(tmp_path / "x"), FIELDS, ["course"])
     again = open_keyword_index(spark, str(tmp_path / "x"))
-    assert as_set(keyword_search(again, asked(spark), slice_terms=5)) == brute_force(QUERIES, 5)
-    assert as_set(keyword_search(again, asked(spark), task_scores=4)) == brute_force(QUERIES, 5)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = as_set(keyword_search(again, asked(spark), slice_terms=5))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == brute_force(QUERIES, 5)
 
 
 def test_common_terms_are_split_from_rare_ones(spark, index, docs, tmp_path):
     split = build_keyword_index(docs, str(tmp_path / "x"), FIELDS, ["course"], broadcast_terms=4)
-    columns = ["doc_id", "field", "term", "weight"]
-    assert sorted(split.postings.select(columns).collect()) == sorted(
-        index.postings.select(columns).collect()
-    )
+
+    def weights(rows):
+        return {(r.doc_id, r.field, r.term): round(r.weight, 12) for r in rows.collect()}
+
+    assert weights(postings(split, 4)) == weights(postings(index))
+    assert as_set(keyword_search(split, asked(spark))) == brute_force(QUERIES, 5)
 
 
 def test_compound_and_string_keys(spark, tmp_path):
@@ -142,11 +154,9 @@ def test_empty_corpus_and_empty_queries(spark, index, tmp_path):
 
 
 def test_plan_moves_only_the_top_k(spark, index):
-    """Between the postings scan and the final ranking lies a single exchange."""
+    """Between the scan of the documents and the final ranking lies a single exchange."""
     hits = keyword_search(index, asked(spark), filters={"course": "a"})
     plan = hits._jdf.queryExecution().executedPlan().toString()
-    corpus_side = plan[: plan.index("Bucketed: true")]
-    assert corpus_side.count("Exchange hashpartitioning") == 1
-    assert "WindowGroupLimit" in corpus_side.split("Exchange hashpartitioning")[1]
-    assert "BroadcastHashJoin" in corpus_side
+    assert plan.count("Exchange") == 1
+    assert "WindowGroupLimit" in plan.split("Exchange")[1]
     assert "EqualTo(course,a)" in plan
