@@ -29,7 +29,7 @@ from seekframe.operators.vector import first_k
 from seekframe.session import slices, spread, union_all
 
 LAYOUT = "key array<string>, text_fields array<string>, keyword_fields array<string>"
-SCORES_AT_ONCE = 4_000_000  # size of a score block, to bound its memory
+SCORES_AT_ONCE = 1_000_000  # cells of a score block, to bound its memory
 
 
 @dataclass(frozen=True)
