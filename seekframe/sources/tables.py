@@ -10,8 +10,9 @@ from seekframe.session import path_exists
 def with_vectors(docs: DataFrame, vectors: DataFrame, width: int, key: str = "doc_id") -> DataFrame:
     """Documents with their ``vec``, which arrive as two tables.
 
-    Vectors computed from the documents need no join: add them as a column. Whoever computes the result fails on a document without vector, a vector without
-    document, or a vector that is not ``width`` wide.
+    Vectors computed from the documents need no join: add them as a column. Whoever
+    computes the result fails on a document without vector, a vector without document,
+    or a vector that is not ``width`` wide.
     """
     joined = (
         docs.withColumn("_doc", F.lit(True))

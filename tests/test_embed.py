@@ -42,7 +42,9 @@ def test_unit_vectors_have_unit_norm_and_dot_is_cosine(spark):
     )
     a, b = l2_normalize(F.col("a")), l2_normalize(F.col("b"))
     for r in rows.select(
-        dot(a, a).alias("one"), (1 - dot(a, b)).alias("d"), cosine_distance(F.col("a"), F.col("b")).alias("e")
+        dot(a, a).alias("one"),
+        (1 - dot(a, b)).alias("d"),
+        cosine_distance(F.col("a"), F.col("b")).alias("e"),
     ).collect():
         assert abs(r.one - 1) < 1e-12 and abs(r.d - r.e) < 1e-12
 

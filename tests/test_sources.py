@@ -16,7 +16,8 @@ def entry(**changes):
 @pytest.fixture
 def landed(spark, tmp_path):
     (tmp_path / "json").mkdir()
-    (tmp_path / "json/one.json").write_text(json.dumps([entry(), entry(question="line\nbreak")], indent=1))
+    two = [entry(), entry(question="line\nbreak")]
+    (tmp_path / "json/one.json").write_text(json.dumps(two, indent=1))
     (tmp_path / "json/two.json").write_text(json.dumps([entry(course="d")]))
     (tmp_path / "json/null.json").write_text(json.dumps([entry(answer=None)]))
     (tmp_path / "json/broken.json").write_text('[{"course": "c", ')
