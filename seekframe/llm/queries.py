@@ -1,8 +1,9 @@
 """One query per operator: the operator with production parameters over its whole table."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seekframe.llm import quality_rules
+from seekframe.llm import licenses, packing, quality_rules, simhash
 from seekframe.llm.common import table
 
 
@@ -20,6 +21,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_simhash": op6_simhash,
+    "op9_licenses": op9_licenses,
+    "op10_packing": op10_packing,
 }
