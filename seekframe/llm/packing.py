@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from seekframe.llm.bpe import BpeIds
 from seekframe.llm.common import prefix_sums, stored, text_of
@@ -70,14 +71,14 @@ def column_generation(
     n = len(sizes)
     basis = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1.0 / np.diag(basis))
-    used = inverse @ demand
-    for turn in range(max_rounds):
+    used = (inverse * demand).sum(axis=1)
+    for _ in range(max_rounds):
         prices = inverse.sum(axis=0)
         value, counts = knapsack(np.maximum(prices, 0.0), sizes, capacity)
         if value <= 1.0 + GAP:
             break
         column = counts.astype(float)
-        step = inverse @ column
+        step = (inverse * column).sum(axis=1)
         rising = np.flatnonzero(step > 1e-9)
         if not len(rising):
             break
@@ -87,9 +88,7 @@ def column_generation(
         pivot = inverse[out] / step[out]
         inverse -= np.outer(step, pivot)
         inverse[out] = pivot
-        if turn % 200 == 199:
-            inverse = np.linalg.inv(basis)
-        used = inverse @ demand
+        used = (inverse * demand).sum(axis=1)
     return basis.T.round().astype(np.int64).reshape(n, n), np.maximum(used, 0.0)
 
 
@@ -236,7 +235,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 sequence[own] = firsts[share] + (ranks[own] - ends[share]) // items[share]
             yield frame.assign(sequence=sequence)
 
-    schema = ranked.schema.add("sequence", "bigint")
+    schema = StructType([*ranked.schema.fields, StructField("sequence", LongType())])
     placed = stored(ranked.mapInPandas(place, schema), "packed")
     inside = Window.partitionBy("sequence").orderBy("grains", "rank")
     pieces = (
