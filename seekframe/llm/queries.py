@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import licenses, packing, quality_rules, simhash
+from seekframe.llm import licenses, mixing, packing, quality_rules, simhash
 from seekframe.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -37,6 +42,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op6_simhash": op6_simhash,
     "op9_licenses": op9_licenses,
