@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import licenses, mixing, packing, quality_rules, simhash
+from seekframe.llm import licenses, mixing, packing, quality_model, quality_rules, simhash
 from seekframe.llm.common import table
 
 
@@ -26,6 +26,17 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score_quality(docs, model).select(
+        "doc_id",
+        quality_model.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -44,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_model": op5_quality_model,
     "op6_simhash": op6_simhash,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
