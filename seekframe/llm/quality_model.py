@@ -1,7 +1,7 @@
 """Quality classifier on supervised subword embeddings.
 
-A document is the mean of learned vectors of its words and of their character n-grams of 3
-to 5 (a blank marks either end of a word), all hashed into ``2 ** BITS`` rows, followed by a
+A document is the mean of learned vectors of its words, of pairs of neighbouring words and of
+character n-grams of 3 to 5 (a blank marks either end of a word), all hashed into ``2 ** BITS`` rows, followed by a
 softmax over the two labels. Vectors and output weights are trained together by stochastic
 gradient descent in numpy, one document a step, on at most ``max_rows`` labelled documents;
 that bound is the only one, and those rows are the first by a hash of their id.
@@ -53,6 +53,8 @@ def _features(points: np.ndarray) -> np.ndarray:
     at = np.arange(len(inside)) - np.repeat(opens, np.diff(np.append(opens, len(inside))))
     words = np.add.reduceat(points[inside] * _POWERS[np.minimum(at, 63)], opens, dtype=np.uint32)
     found.append(row(words, 1))
+    # A pair of words is hashed by the difference of their hashes: all repetitions share a row.
+    found.append(row(np.diff(words), 2))
     blanks = np.concatenate(([0], np.cumsum(blank)))
     hashes = points.copy()
     for n in range(2, max(SIZES) + 1):
