@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import licenses, mixing, packing, quality_model, quality_rules, simhash
+from seekframe.llm import (
+    licenses,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    url_filter,
+)
 from seekframe.llm.common import table
 
 
@@ -44,6 +52,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -57,6 +70,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_model": op5_quality_model,
     "op6_simhash": op6_simhash,
+    "op8_url_filter": op8_url_filter,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
 }
