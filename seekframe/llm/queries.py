@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.llm import (
+    html_text,
     licenses,
     mixing,
     packing,
+    paragraphs,
     quality_model,
     quality_rules,
     simhash,
@@ -29,6 +31,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.document_versions(table(spark, sf_dir, "documents"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -66,6 +77,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_paragraphs": op1_paragraphs,
+    "op2_html_text": op2_html_text,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_model": op5_quality_model,
