@@ -12,6 +12,7 @@ from seekframe.llm import (
     quality_model,
     quality_rules,
     simhash,
+    token_counts,
     url_filter,
 )
 from seekframe.llm.common import table
@@ -63,6 +64,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -83,6 +88,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_model": op5_quality_model,
     "op6_simhash": op6_simhash,
+    "op7_token_counts": op7_token_counts,
     "op8_url_filter": op8_url_filter,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
