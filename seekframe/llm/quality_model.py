@@ -19,8 +19,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITS = 17
@@ -193,20 +194,21 @@ def train(
     return fit(examples)
 
 
+def quality_score(spark: SparkSession, model: QualityModel, text: Column) -> Column:
+    """The score of a text column, for use among the other columns of its table."""
+    shared = spark.sparkContext.broadcast((model.weights, model.bias))
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        own = QualityModel(*shared.value)
+        return pd.Series([own.score(t) for t in texts], dtype=float)
+
+    return scored(text)
+
+
 def score_quality(
     docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(key, score) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = QualityModel(*shared.value)
-        for batch in batches:
-            scores = [own.score(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64())], names=["key", "score"]
-            )
-
-    kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(key, text).mapInArrow(scored, f"key {kind}, score double")
-    return out.withColumnRenamed("key", key)
+    score = quality_score(docs.sparkSession, model, F.col(text))
+    return docs.select(key, score.alias("score"))

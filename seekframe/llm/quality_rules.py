@@ -154,13 +154,18 @@ def judge_quality(
 ) -> DataFrame:
     """All columns of ``docs`` with the five counts, base_failed, rejected_by and kept.
 
+    A filter on the verdict stays above the counts: pushed below them, it would count the
+    words of a text again at every mention, so the counts carry a column that pins it.
+
     ``rejected_by`` is the rule at which the cascade stopped; it depends on the measured
     order, ``kept`` does not.
     """
     rules = default_rules(text) if rules is None else rules
     counted = with_counts(docs, text)
     order = [name for name, _, _ in rank_rules(counted, rules)]
-    judged = counted.withColumn("base_failed", base_failed()).withColumn(
+    pinned = counted.withColumn("_pin", F.spark_partition_id())
+    judged = pinned.withColumn("base_failed", base_failed()).withColumn(
         "rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(rules, order))
     )
-    return judged.withColumn("kept", F.col("rejected_by").isNull())
+    kept = F.col("rejected_by").isNull() & (F.col("_pin") >= 0)
+    return judged.withColumn("kept", kept).drop("_pin")
