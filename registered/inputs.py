@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions.hashing import hash_encode
+from seekframe.functions.text import compose
 from seekframe.operators.ann import (
     IvfIndex,
     build_ivf_index,
@@ -63,8 +64,20 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stored vector as a query, which looks for vectors of its own label."""
-    return vectors(spark, sf_dir).withColumnRenamed("vec_id", "query_id")
+    """Encoded benchmark items as queries, each with a label to filter by."""
+    label = (F.col("query_id") % 10).cast("int")
+    return encoded_questions(spark, sf_dir).select("query_id", "vec", label.alias("label"))
+
+
+def faq_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored FAQ entries with the vectors of question and answer."""
+    path, ready = _place(spark, sf_dir, "faq_vectors")
+    if not ready:
+        body = compose("question", "answer")
+        entries = spread(faq(spark, sf_dir), "doc_id").withColumn("vec", hash_encode(body))
+        entries.write.mode("overwrite").parquet(path)
+        _built.add(path)
+    return spark.read.parquet(path)
 
 
 def faq_index(spark: SparkSession, sf_dir: str) -> KeywordIndex:
@@ -80,7 +93,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored chunks of all documents with their vectors."""
     path, ready = _place(spark, sf_dir, "chunks")
     if not ready:
-        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
         cut = chunk_documents(spread(docs, "doc_id"))
         cut.withColumn("vec", hash_encode(F.col("content"))).write.mode("overwrite").parquet(path)
         _built.add(path)
@@ -92,7 +105,7 @@ def chunk_index(spark: SparkSession, sf_dir: str) -> KeywordIndex:
     if ready:
         return open_keyword_index(spark, path)
     index = build_keyword_index(
-        chunks(spark, sf_dir), path, ["content"], key=("doc_id", "start")
+        chunks(spark, sf_dir), path, ["content"], ["source"], key=("doc_id", "start")
     )
     _built.add(path)
     return index

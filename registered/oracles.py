@@ -101,7 +101,13 @@ def _nearest(
 DOT = "list_dot_product(d.vec, q.vec)"
 COSINE = f"{DOT} / (sqrt(list_dot_product(d.vec, d.vec)) * sqrt(list_dot_product(q.vec, q.vec)))"
 VECTORS = "vectors AS (SELECT vec_id, embedding::double[] AS vec, label FROM embeddings)"
-ASKED = "asked AS (SELECT vec_id AS query_id, vec, label FROM vectors)"
+ASKED = ",".join(
+    [
+        QUESTIONS,
+        _encoded("coded", "questions", "query_id", "text"),
+        "asked AS (SELECT query_id, vec, (query_id % 10)::int AS label FROM coded)",
+    ]
+)
 CENTRES = """
 centres AS (SELECT label AS cell, list(m ORDER BY dim)::double[] AS vec FROM (
   SELECT label, dim, avg(v) AS m FROM (
@@ -131,6 +137,9 @@ ORACLES["first_page"] = (
 ORACLES["catalog_load"] = (
     _with(FAQ) + " SELECT doc_id, course, section, question, answer FROM faq"
 )
+ORACLES["catalog_arrays"] = ORACLES["catalog_load"]
+ORACLES["file_tree"] = """SELECT 'page ' || page_id AS filename,
+  'page ' || page_id || chr(10) || html || chr(10) AS embed_text FROM pages"""
 ORACLES["vector_table"] = (
     _with(
         FAQ,
@@ -159,6 +168,12 @@ KEYWORD = {
     "keyword_boosted": (FAQ_BOOSTS, 5, "true"),
     "keyword_filtered": (FAQ_BOOSTS, 5, IN_COURSE),
     "keyword_single": ({}, 1, "true"),
+    "keyword_match": (
+        FAQ_BOOSTS,
+        5,
+        "EXISTS (SELECT 1 FROM faq f WHERE f.doc_id = postings.doc_id"
+        " AND f.course = 'src' || (query_id % 20))",
+    ),
 }
 for _name, (_boosts, _k, _where) in KEYWORD.items():
     ORACLES[_name] = (
@@ -170,6 +185,12 @@ KEYWORD_CHUNKS = _with(
 )
 ORACLES["keyword_chunks"] = KEYWORD_CHUNKS + " SELECT query_id, doc_id, start, score, rank FROM hits"
 
+IN_SOURCE = f"doc_id IN (SELECT doc_id FROM documents WHERE source = '{COURSE}')"
+ORACLES["keyword_chunks_filtered"] = (
+    _with(CHUNKS, CHUNK_INDEX, QUESTIONS, _hits("hits", CHUNK_KEY, {}, 5, IN_SOURCE))
+    + " SELECT query_id, doc_id, start, score, rank FROM hits"
+)
+
 ORACLES["hash_embed"] = (
     _with(_encoded("encoded", "documents", "doc_id", "text"))
     + """ SELECT doc_id, dim, round(v, 6) + 0.0 AS value FROM (
@@ -179,6 +200,12 @@ ORACLES["hash_embed"] = (
 ORACLES["encode_plugin"] = """SELECT doc_id, length(text)::double AS chars,
   (length(text) - length(replace(text, 'e', '')))::double AS es,
   (length(text) - length(replace(text, chr(10), '')))::double AS breaks FROM documents"""
+ORACLES["token_pooled"] = (
+    _with(QUESTIONS, _encoded("encoded", "questions", "query_id", "text"))
+    + """ SELECT query_id, dim, round(v, 6) + 0.0 AS value FROM (
+      SELECT query_id, generate_subscripts(vec, 1) - 1 AS dim, unnest(vec) AS v FROM encoded)
+      WHERE v <> 0"""
+)
 ORACLES["mean_pooled"] = (
     _with(_encoded("encoded", "conversations", "conv_id, turn", "text"))
     + """ SELECT conv_id, dim, round(avg(v), 6) + 0.0 AS value FROM (
@@ -243,6 +270,23 @@ ORACLES["ivf_all_cells"] = (
     + " SELECT query_id, vec_id, score, rank FROM hits"
 )
 
+ORACLES["ivf_kmeans"] = """SELECT item_id AS query_id, 5::bigint AS hits, true AS scores_exact,
+  true AS recall_reached FROM benchmark"""
+FAQ_VECTORS = _with(
+    FAQ,
+    "bodies AS (SELECT doc_id, question || chr(10) || answer AS body FROM faq)",
+    _encoded("stored", "bodies", "doc_id", "body"),
+    QUESTIONS,
+    _encoded("asked", "questions", "query_id", "text"),
+)
+ORACLES["faq_vector_search"] = (
+    FAQ_VECTORS
+    + ","
+    + _nearest("hits", "stored", "asked", "doc_id", 5, DOT, IN_COURSE.replace("doc_id IN", "d.doc_id IN", 1))
+    + """ SELECT query_id, doc_id, score AS similarity, rank, course, section, question, answer
+      FROM hits JOIN faq USING (doc_id)"""
+)
+
 
 def _fused(lists: list[str], key: str) -> str:
     """CTE ``fused(query_id, key, score, rank)`` by reciprocal rank."""
@@ -338,6 +382,14 @@ ORACLES["prompts"] = (
     )
     + f" SELECT query_id, {PROMPT} AS prompt FROM contexts"
 )
+ORACLES["prompts_vector"] = (
+    FAQ_VECTORS
+    + ","
+    + _nearest("hits", "stored", "asked", "doc_id", 5, DOT)
+    + ","
+    + _context(FAQ_BLOCK, "faq", "doc_id", "hits")
+    + f" SELECT query_id, {PROMPT} AS prompt FROM contexts"
+)
 ORACLES["prompt_messages"] = (
     HYBRID
     + ","
@@ -383,8 +435,9 @@ ORACLES["tool_dispatch"] = (
         "asked AS (SELECT call_id AS query_id, text FROM calls)",
         _hits("hits", "doc_id", FAQ_BOOSTS, 5, IN_COURSE, asked="asked"),
     )
-    + """ SELECT query_id AS call_id, 'function_call_output' AS type, rank - 1 AS pos,
-      doc_id, course, section, question, answer FROM hits JOIN faq USING (doc_id)"""
+    + """ SELECT call_id, 'function_call_output' AS type, rank - 1 AS pos,
+      doc_id, course, section, question, answer
+      FROM calls LEFT JOIN (hits JOIN faq USING (doc_id)) ON query_id = call_id"""
 )
 ORACLES["tool_rejects"] = """SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id,
   CASE WHEN role = 'system' THEN 'unknown tool' WHEN role = 'assistant' THEN 'malformed arguments'

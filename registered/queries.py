@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from registered import inputs
 from seekframe.functions.hashing import hash_encode
 from seekframe.functions.text import compose
-from seekframe.functions.vectors import cosine_distance, dot, vector_literal
+from seekframe.functions.vectors import cosine_distance, dot, l2_normalize, vector_literal
 from seekframe.operators.ann import assign_cells, ivf_search, label_centres
 from seekframe.operators.chunk import chunk_documents
-from seekframe.operators.embed import encode, mean_pool
+from seekframe.operators.embed import encode, mean_pool, token_rows
 from seekframe.operators.fuse import (
     label_lists,
     list_report,
@@ -20,12 +20,13 @@ from seekframe.operators.fuse import (
 )
 from seekframe.operators import keyword
 from seekframe.operators.keyword import keyword_search
+from seekframe.operators.rank import attach_payload
 from seekframe.operators.vector import vector_search
 from seekframe.plans import messages as msg
 from seekframe.plans import prompt
 from seekframe.plans.hybrid import both_searches, hybrid_search
-from seekframe.session import broadcast_within, spread
-from seekframe.sources.corpus import filter_paths, first_match, load_catalog
+from seekframe.session import spread
+from seekframe.sources.corpus import filter_paths, first_match, load_catalog, read_tree
 from seekframe.sources.tables import open_current, publish, with_vectors
 
 FAQ_BOOSTS = {"question": 3.0, "section": 0.5}
@@ -70,6 +71,31 @@ def catalog_load(spark, sf):
     return load_catalog(catalog, root, FAQ_SCHEMA, multi_line=False)
 
 
+@query
+def catalog_arrays(spark, sf):
+    root = inputs.new_folder(spark, sf, "arrays")
+    fields = ["doc_id", "course", "section", "question", "answer"]
+    entry = F.struct(*fields)
+    batch = F.floor(F.col("doc_id") / 20).cast("string").alias("batch")
+    arrays = inputs.faq(spark, sf).groupBy(batch).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    arrays.write.partitionBy("batch").text(root)
+    catalog = arrays.select(F.concat(F.lit("batch="), "batch").alias("path"))
+    return load_catalog(catalog, root, FAQ_SCHEMA)
+
+
+@query
+def file_tree(spark, sf):
+    root = inputs.new_folder(spark, sf, "page files")
+    name = F.concat(F.lit("page "), F.col("page_id").cast("string"))
+    pages = inputs.table(spark, sf, "pages").select(name.alias("name"), F.col("html").alias("value"))
+    pages.write.partitionBy("name").text(root)
+    files = read_tree(spark, root, {"txt"}, F.col("filename").startswith("name=page "))
+    folder = F.regexp_extract("filename", "^name=([^/]*)/[^/]*$", 1)
+    return files.select(folder.alias("filename"), "content").select(
+        "filename", compose("filename", "content").alias("embed_text")
+    )
+
+
 @query
 def vector_table(spark, sf):
     root = inputs.new_folder(spark, sf, "vector_table")
@@ -137,6 +163,22 @@ def keyword_single(spark, sf):
     return keyword_search(inputs.faq_index(spark, sf), inputs.questions(spark, sf), 1)
 
 
+@query
+def keyword_match(spark, sf):
+    course = F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string"))
+    asked = inputs.questions(spark, sf).withColumn("course", course)
+    return keyword_search(
+        inputs.faq_index(spark, sf), asked, 5, FAQ_BOOSTS, match=("course",)
+    )
+
+
+@query
+def keyword_chunks_filtered(spark, sf):
+    return keyword_search(
+        inputs.chunk_index(spark, sf), inputs.questions(spark, sf), 5, filters={"source": COURSE}
+    )
+
+
 @query
 def keyword_chunks(spark, sf):
     return keyword_search(
@@ -178,6 +220,17 @@ def encode_plugin(spark, sf):
     )
 
 
+@query
+def token_pooled(spark, sf):
+    rows = token_rows(inputs.questions(spark, sf), "query_id")
+    pooled = mean_pool(rows, "query_id").select("query_id", l2_normalize(F.col("vec")).alias("vec"))
+    return (
+        pooled.select("query_id", F.posexplode("vec").alias("dim", "value"))
+        .where(F.col("value") != 0)
+        .select("query_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
+    )
+
+
 @query
 def mean_pooled(spark, sf):
     rows = inputs.table(spark, sf, "conversations").select(
@@ -200,11 +253,10 @@ def vector_distance(spark, sf):
     centres = label_centres(inputs.vectors(spark, sf), "label").select(
         F.col("cell").alias("label"), F.col("vec").alias("centre")
     )
-    labels = inputs.vectors(spark, sf).select("label").distinct().count()
     pair = F.col("vec"), F.col("centre")
     return (
         inputs.vectors(spark, sf)
-        .join(broadcast_within(centres, labels), "label")
+        .join(centres, "label")
         .select(
             "vec_id",
             F.round(dot(*pair), 6).alias("inner_product"),
@@ -286,11 +338,47 @@ def ivf_filtered(spark, sf):
     )
 
 
+IVF_RECALL = 0.5  # share of the exact best five that half of the cells must hold
+
+
 @query
 def ivf_kmeans(spark, sf):
-    return ivf_search(
-        inputs.kmeans_ivf(spark, sf), inputs.vector_queries(spark, sf), 5, key=("vec_id",)
+    """Trained cells: each score against the exact one, and the recall of all searches."""
+    index, asked = inputs.kmeans_ivf(spark, sf), inputs.vector_queries(spark, sf)
+    found = ivf_search(index, asked, 5, nprobe=index.cells // 2, key=("vec_id",))
+    exact = vector_search(inputs.vectors(spark, sf), asked, 5, key=("vec_id",))
+    pairs = found.join(
+        exact.select("query_id", "vec_id", F.lit(1).alias("best")), ["query_id", "vec_id"], "left"
+    )
+    stored = inputs.vectors(spark, sf).select("vec_id", F.col("vec").alias("stored"))
+    cosine = 1 - cosine_distance(F.col("vec").cast("array<double>"), F.col("stored"))
+    checked = pairs.join(stored, "vec_id").join(asked.select("query_id", "vec"), "query_id")
+    per_query = checked.groupBy("query_id").agg(
+        F.count("*").alias("hits"),
+        F.bool_and(F.abs(cosine - F.col("score")) < 2e-6).alias("scores_exact"),
+        F.count("best").alias("found"),
     )
+    totals = per_query.agg((F.sum("found") / F.sum("hits") >= IVF_RECALL).alias("recall_reached"))
+    return per_query.drop("found").crossJoin(totals)  # one row of totals
+
+
+@query
+def faq_vector_search(spark, sf):
+    stored = inputs.faq_vectors(spark, sf)
+    hits = vector_search(
+        stored.where(F.col("course") == COURSE),
+        inputs.encoded_questions(spark, sf),
+        5,
+        similarity="similarity",
+    )
+    return attach_payload(hits, stored, ["course", "section", "question", "answer"])
+
+
+@query
+def prompts_vector(spark, sf):
+    stored, asked = inputs.faq_vectors(spark, sf), inputs.encoded_questions(spark, sf)
+    hits = vector_search(stored, asked, 5)
+    return prompt.retrieve_prompts(asked, hits, stored, prompt.faq_block())
 
 
 @query
@@ -445,7 +533,7 @@ def tool_dispatch(spark, sf):
     )
     hit = "doc_id bigint, " + ", ".join(f"{f} string" for f in fields)
     parsed = F.from_json("output", f"array<struct<{hit}>>")
-    return outputs.select("call_id", "type", F.posexplode(parsed).alias("pos", "h")).select(
+    return outputs.select("call_id", "type", F.posexplode_outer(parsed).alias("pos", "h")).select(
         "call_id", "type", F.col("pos").cast("long").alias("pos"), "h.*"
     )
 

@@ -18,6 +18,15 @@ def required(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in required field {name}")))
 
 
+def all_present(*columns: str) -> Column:
+    """True, or a failed job for a NULL in any column; as a filter it cannot be pruned away."""
+    condition = F.lit(True)
+    for name in columns:
+        message = F.lit(f"NULL in required field {name}")
+        condition = condition & F.when(F.col(name).isNull(), F.raise_error(message)).otherwise(True)
+    return condition
+
+
 def compose(*names: str, sep: str = "\n") -> Column:
     """Join required text columns into the text that gets embedded."""
     return F.concat_ws(sep, *[required(n) for n in names])

@@ -5,6 +5,7 @@ Vectors are stored by the cell of their nearest centre. A query looks into its
 """
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from seekframe.functions.vectors import norm
 from seekframe.operators.vector import _matrix, vector_search
+from seekframe.sources.tables import open_current, publish
 
-MAX_CELLS = 65_536  # the centres are broadcast, so their number is bounded
+CENTRES_AT_ONCE = 4_096  # columns of a score block, to bound its memory
 
 
 @dataclass(frozen=True)
@@ -28,19 +30,13 @@ class IvfIndex:
 
 
 def kmeans_centres(
-    vectors: DataFrame, cells: int, seed: int = 42, max_iter: int = 20, fraction: float = 1.0
+    vectors: DataFrame, cells: int, seed: int = 42, max_iter: int = 20
 ) -> DataFrame:
-    """``(cell, vec)`` from k-means under cosine distance.
-
-    ``fraction`` is the share of rows the centres are fitted on; every row is indexed
-    whatever it is, so it touches recall and never the rows of a result.
-    """
+    """``(cell, vec)`` from k-means under cosine distance over all rows."""
     spark = vectors.sparkSession
     points = vectors.where(norm(F.col("vec")) > 0).select(
         array_to_vector(F.col("vec")).alias("features")
     )
-    if fraction < 1.0:
-        points = points.sample(fraction, seed)
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return spark.createDataFrame(rows, "cell int, vec array<double>")
@@ -60,7 +56,7 @@ def label_centres(vectors: DataFrame, label: str) -> DataFrame:
 
 def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
     """Add ``cell``, the centre of greatest cosine (smallest cell on ties); no shuffle."""
-    table = _centre_table(centres)
+    table = centres.orderBy("cell").toArrow()
     shared = vectors.sparkSession.sparkContext.broadcast(
         (table["cell"].to_numpy(), _matrix(table["vec"], "cosine"))
     )
@@ -69,8 +65,16 @@ def assign_cells(vectors: DataFrame, centres: DataFrame) -> DataFrame:
         cells, centre_matrix = shared.value
         if len(vec) == 0:
             return pa.array([], type=pa.int32())
-        scores = np.round(_matrix(pa.chunked_array([vec]), "cosine") @ centre_matrix.T, 9)
-        return pa.array(cells[np.argmax(scores, axis=1)], type=pa.int32())
+        x = _matrix(pa.chunked_array([vec]), "cosine")
+        best, place = np.full(len(x), -np.inf), np.zeros(len(x), np.int64)
+        for at in range(0, len(centre_matrix), CENTRES_AT_ONCE):
+            scores = np.round(x @ centre_matrix[at : at + CENTRES_AT_ONCE].T, 9)
+            # A zero vector has no direction: NaN is never better, so it stays in the first cell.
+            top = np.argmax(np.nan_to_num(scores, nan=-2.0), axis=1)
+            score = scores[np.arange(len(x)), top]
+            better = score > best
+            best[better], place[better] = score[better], at + top[better]
+        return pa.array(cells[place], type=pa.int32())
 
     cell = F.arrow_udf(nearest, "int").asNondeterministic()("vec")
     return vectors.where(F.col("vec").isNotNull()).withColumn("cell", cell)
@@ -81,32 +85,36 @@ def build_ivf_index(
     path: str,
     cells: int | None = None,
     seed: int = 42,
-    fraction: float = 1.0,
     centres: DataFrame | None = None,
 ) -> IvfIndex:
-    """Write ``vectors`` by cell below ``path``; centres are trained unless given."""
+    """Write ``vectors`` by cell below ``path``; centres are trained unless given.
+
+    A build goes to a folder of its own, which readers see when all of it is written.
+    """
     spark = vectors.sparkSession
     if centres is None:
         if cells is None:
-            cells = max(1, min(MAX_CELLS, round(math.sqrt(vectors.count()))))
-        centres = kmeans_centres(vectors, cells, seed, fraction=fraction)
-    centres.coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
-    stored = spark.read.parquet(f"{path}/centres")
+            cells = max(1, round(math.sqrt(vectors.count())))
+        centres = kmeans_centres(vectors, cells, seed)
+    build = f"{path}/build-{uuid.uuid4().hex}"
+    centres.coalesce(1).write.parquet(f"{build}/centres")
+    stored = spark.read.parquet(f"{build}/centres")
     # Rebalancing splits a cell that holds much of the table and merges small ones.
     (
         assign_cells(vectors, stored)
         .hint("rebalance", F.col("cell"))
-        .write.mode("overwrite")
-        .partitionBy("cell")
-        .parquet(f"{path}/vectors")
+        .write.partitionBy("cell")
+        .parquet(f"{build}/vectors")
     )
+    publish(spark.createDataFrame([(build,)], "build string"), f"{path}/current")
     return open_ivf_index(spark, path)
 
 
 def open_ivf_index(spark: SparkSession, path: str) -> IvfIndex:
-    centres = spark.read.parquet(f"{path}/centres")
+    build = open_current(spark, f"{path}/current").first().build
+    centres = spark.read.parquet(f"{build}/centres")
     return IvfIndex(
-        vectors=spark.read.parquet(f"{path}/vectors"), centres=centres, cells=centres.count()
+        vectors=spark.read.parquet(f"{build}/vectors"), centres=centres, cells=centres.count()
     )
 
 
@@ -125,7 +133,7 @@ def ivf_search(
     cells probed the result is that of the exact search.
     """
     nprobe = nprobe or math.ceil(math.sqrt(index.cells))
-    probes = probe_cells(index.centres, queries, nprobe)
+    probes = probe_cells(index.centres, queries, nprobe, metric)
     wanted = queries.join(probes.select("query_id", "cell"), "query_id")
     return vector_search(
         index.vectors,
@@ -138,13 +146,9 @@ def ivf_search(
     )
 
 
-def probe_cells(centres: DataFrame, queries: DataFrame, nprobe: int) -> DataFrame:
+def probe_cells(
+    centres: DataFrame, queries: DataFrame, nprobe: int, metric: str = "cosine"
+) -> DataFrame:
     """``(query_id, cell, score, rank)``: the cells each query looks into."""
-    return vector_search(centres, queries.select("query_id", "vec"), nprobe, key=("cell",))
-
-
-def _centre_table(centres: DataFrame):
-    table = centres.orderBy("cell").limit(MAX_CELLS + 1).toArrow()
-    if table.num_rows > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} centres")
-    return table
+    asked = queries.select("query_id", "vec")
+    return vector_search(centres, asked, nprobe, key=("cell",), metric=metric)

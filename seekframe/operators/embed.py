@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
+from seekframe.functions.hashing import hash_encode
+from seekframe.functions.text import tokens
+
 # Fixed value: texts handed to the model at a time.
 BATCH_SIZE = 50
 
@@ -29,6 +32,17 @@ def encode(
     return udf.asNondeterministic()(text)
 
 
+def token_rows(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", dims: int = 64
+) -> DataFrame:
+    """``(key, pos, mask, vec)``: the tokens of each text in order, with a vector each.
+
+    A token's vector is its hashed feature; a model's own token vectors can take its place.
+    """
+    rows = docs.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    return rows.select(key, "pos", F.lit(1).alias("mask"), hash_encode(F.col("token"), dims).alias("vec"))
+
+
 def mean_pool(token_rows: DataFrame, by: str, vec: str = "vec", mask: str = "mask") -> DataFrame:
     """``(by, vec)``: mean of the vectors whose ``mask`` is 1, dimension by dimension.
 

@@ -13,6 +13,7 @@ Scoring is TF-IDF cosine per text field (Salton and Buckley, 1988):
 Filters remove candidates and leave the statistics alone.
 """
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -26,9 +27,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from seekframe.functions.text import required, tokens
 from seekframe.operators.rank import top_k
 from seekframe.operators.vector import first_k
-from seekframe.session import slices, spread, union_all
+from seekframe.session import remove_path, slices, spread, union_all
+from seekframe.sources.tables import open_current, publish
 
-LAYOUT = "key array<string>, text_fields array<string>, keyword_fields array<string>"
+LAYOUT = "build string, key array<string>, text_fields array<string>, keyword_fields array<string>"
 SCORES_AT_ONCE = 1_000_000  # cells of a score block, to bound its memory
 
 
@@ -57,41 +59,45 @@ def build_keyword_index(
 ) -> KeywordIndex:
     """Write the index of ``docs``, whose ``key`` must be unique, below ``path`` and open it.
 
-    Texts are read once and counted where they are read.
+    Texts are read once and counted where they are read. A key that occurs twice fails the
+    build. A build goes to a folder of its own, which readers see when all of it is written.
     """
     spark = docs.sparkSession
     keep = [*key, *(keyword_fields or [])]
+    build = f"{path}/build-{uuid.uuid4().hex}"
     (
         spread(docs.select(*keep, *text_fields), *key)
         .select(*keep, *[count_terms(tokens(required(f))).alias(f) for f in text_fields])
-        .write.mode("overwrite")
-        .parquet(f"{path}/counts")
+        .write.parquet(f"{build}/counts")
     )
-    counts = spark.read.parquet(f"{path}/counts")
+    counts = spark.read.parquet(f"{build}/counts")
+    twice = counts.groupBy(*key).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"key {tuple(twice)[:-1]} occurs {twice['count']} times")
 
     (
         _exploded(counts, text_fields, [])
         .groupBy("field", "term")
         .agg(F.count("*").alias("df"))
         .withColumn("idf", F.log(F.lit(1.0 + counts.count()) / (1 + F.col("df"))) + 1)
-        .write.mode("overwrite")
-        .parquet(f"{path}/terms")
+        .write.parquet(f"{build}/terms")
     )
-    terms = spark.read.parquet(f"{path}/terms")
+    terms = spark.read.parquet(f"{build}/terms")
 
     documents = _with_norms(counts, terms, text_fields, key, broadcast_terms)
-    documents.write.mode("overwrite").parquet(f"{path}/documents")
-    layout = (list(key), list(text_fields), list(keyword_fields or []))
-    spark.createDataFrame([layout], LAYOUT).write.mode("overwrite").json(f"{path}/layout")
+    documents.write.parquet(f"{build}/documents")
+    remove_path(spark, f"{build}/counts")
+    layout = (build, list(key), list(text_fields), list(keyword_fields or []))
+    publish(spark.createDataFrame([layout], LAYOUT), f"{path}/current")
     return open_keyword_index(spark, path)
 
 
 def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     """Open an index written earlier, by any session."""
-    layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
+    layout = open_current(spark, f"{path}/current").first()
     return KeywordIndex(
-        documents=spark.read.parquet(f"{path}/documents"),
-        terms=spark.read.parquet(f"{path}/terms"),
+        documents=spark.read.parquet(f"{layout.build}/documents"),
+        terms=spark.read.parquet(f"{layout.build}/terms"),
         key=tuple(layout.key),
         text_fields=tuple(layout.text_fields),
         keyword_fields=tuple(layout.keyword_fields),

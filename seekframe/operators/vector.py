@@ -12,14 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from seekframe.operators.rank import top_k
 from seekframe.session import slices, union_all
 
-MAX_LISTED_VALUES = 10_000
+LISTED_VALUES = 1_000  # more are joined: a predicate of that length is slow to plan
 QUERIES_AT_ONCE = 512  # columns of a score block, to bound its memory
 
 
@@ -69,21 +70,28 @@ def vector_search(
         shared = spark.sparkContext.broadcast(
             (table["query_id"].combine_chunks(), _matrix(table["vec"], metric), groups)
         )
-        candidates = stored.where(_may_match(groups, on))
+        candidates = _may_match(stored, part, groups, on)
         best = _best_of_batches(shared, key, on, metric, num_results)
         scored.append(candidates.mapInArrow(best, schema))
     hits = top_k(union_all(scored), num_results, [F.desc("score"), *map(F.asc, key)])
     return hits.withColumnRenamed("score", similarity)
 
 
-def _may_match(groups: dict[tuple, list[int]], on: tuple[str, ...]) -> Column:
-    """Predicate on ``on`` that reaches the scan: pushed filters, pruned partitions."""
-    condition = F.lit(True)
+def _may_match(
+    stored: DataFrame, part: DataFrame, groups: dict[tuple, list[int]], on: tuple[str, ...]
+) -> DataFrame:
+    """Stored rows whose ``on`` values some query asks for.
+
+    Few values reach the scan as a predicate. More are joined, which prunes partitions at
+    run time; they come from one slice of queries, whose size is bounded.
+    """
     for i, name in enumerate(on):
         values = {g[i] for g in groups}
-        if len(values) <= MAX_LISTED_VALUES:
-            condition = condition & F.col(name).isin(sorted(values))
-    return condition
+        if len(values) <= LISTED_VALUES:
+            stored = stored.where(F.col(name).isin(sorted(values)))
+        else:
+            stored = stored.join(F.broadcast(part.select(name).distinct()), name, "left_semi")
+    return stored
 
 
 def _rows(table, columns: tuple[str, ...]) -> Iterator[tuple]:
@@ -97,7 +105,8 @@ def _matrix(column, metric: str):
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if n == 0:
         return flat.reshape(0, 0)
-    if len(flat) % n:
+    widths = pc.min_max(pc.list_value_length(column))
+    if widths["min"] != widths["max"]:
         raise ValueError("vectors differ in width")
     x = flat.reshape(n, -1)
     if metric == "cosine":

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.operators.rank import dense_number, top_k
-from seekframe.session import broadcast_within
 
 # The names of the tool, its argument and the item types.
 SEARCH_TOOL = "search"
@@ -60,7 +59,6 @@ def dispatch_calls(
     docs: DataFrame,
     payload: list[str],
     key: tuple[str, ...] = ("doc_id",),
-    num_results: int = 5,
     pretty: bool = True,
 ) -> DataFrame:
     """``(call_id, type, output)`` for all valid ``calls``, answered by one search job.
@@ -69,8 +67,7 @@ def dispatch_calls(
     ``payload`` of the hits, best first, empty if there are none.
     """
     queries = calls.select(F.col("call_id").alias("query_id"), F.col("query").alias("text"))
-    hits = search(queries).select("query_id", *key, "rank")
-    wanted = broadcast_within(hits, queries.count() * num_results)
+    wanted = search(queries).select("query_id", *key, "rank")
     listed = F.array_sort(F.collect_list(F.struct("rank", F.struct(*payload).alias("hit"))))
     options = {"pretty": str(pretty).lower(), "ignoreNullFields": "false"}
     found = (

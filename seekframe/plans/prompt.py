@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import required, strip, tokens
-from seekframe.session import broadcast_within
 
 # The wording of prompts and messages.
 INSTRUCTIONS = """
@@ -47,16 +46,13 @@ def build_context(
     docs: DataFrame,
     block: Column,
     key: tuple[str, ...] = ("doc_id",),
-    num_results: int = 5,
 ) -> DataFrame:
     """``(query_id, context)``: the blocks of a query's hits in rank order.
 
-    A query without hits keeps its row with an empty context. ``num_results`` is the
-    length of the hit lists; with the number of queries it bounds the hits, which are
-    broadcast below a limit so that the stored documents are scanned and not shuffled.
+    A query without hits keeps its row with an empty context. Whether the hits are broadcast
+    to the documents is left to Spark, which knows their size when they have been found.
     """
-    bound = queries.count() * num_results
-    wanted = broadcast_within(hits.select("query_id", *key, "rank"), bound)
+    wanted = hits.select("query_id", *key, "rank")
     blocks = F.array_sort(F.collect_list(F.struct("rank", F.col("_block"))))
     contexts = (
         docs.join(wanted, list(key))
@@ -102,14 +98,13 @@ def retrieve_prompts(
     docs: DataFrame,
     block: Column,
     key: tuple[str, ...] = ("doc_id",),
-    num_results: int = 5,
     template: str = PROMPT_TEMPLATE,
 ) -> DataFrame:
     """``(query_id, prompt)``: the table handed to a model.
 
     ``hits(query_id, *key, rank)`` may come from any search of this package or another.
     """
-    contexts = build_context(queries, hits, docs, block, key, num_results)
+    contexts = build_context(queries, hits, docs, block, key)
     return build_prompts(queries, contexts, template)
 
 
@@ -134,7 +129,7 @@ def usage_totals(
     counted = log.withColumn("_n", F.size(tokens(F.col(text))).cast("long"))
     per_role = counted.groupBy(by, "role").agg(F.sum("_n").alias("_n"))
     return (
-        per_role.join(broadcast_within(prices, prices.count()), "role", "left")
+        per_role.join(prices, "role", "left")
         .groupBy(by)
         .agg(
             F.sum("_n").alias("tokens"),

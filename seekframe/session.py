@@ -1,4 +1,4 @@
-"""Session helpers: the shared folder and the size checks behind broadcasts."""
+"""Session helpers: the shared folder, slices of query tables and spreading of small inputs."""
 
 import math
 import tempfile
@@ -22,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         if sc.applicationId not in _local_dirs:
             _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="run-")
-            sc.setCheckpointDir(_local_dirs[sc.applicationId])
+            if not sc._jsc.sc().getCheckpointDir().isDefined():
+                sc.setCheckpointDir(_local_dirs[sc.applicationId])
         root = _local_dirs[sc.applicationId]
     return f"{root.rstrip('/')}/seekframe-{sc.applicationId}"
 
@@ -33,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def slices(df: DataFrame, key: str, size: float, limit: float) -> list[DataFrame]:
     """Cut ``df`` by a hash of ``key`` so that each part is about ``limit`` in size.
 
@@ -54,16 +61,16 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def broadcast_within(df: DataFrame, rows: int, limit: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast of ``df`` if ``rows``, a proven bound on its size, allows it."""
-    return F.broadcast(df) if rows <= limit else df
-
-
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Repartition a small input, so that heavy work per row is not left to a few tasks.
 
     A small file may be a single row group, which one task reads however many splits it
-    has. An input of many splits is left as it is: it needs no shuffle to be parallel.
+    has. Small is what Spark would not cut into a split per core, by the planner's estimate
+    of the size; a larger input is left as it is, so texts are shuffled only where that is
+    cheap. No job is run to find out.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < 4 * cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    return df.repartition(cores, *key) if size < cores * split else df

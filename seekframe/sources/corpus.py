@@ -1,13 +1,15 @@
 """Loading corpora: files named by a catalog, file trees, and lookups by path."""
 
-import re
+import uuid
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import required
+from seekframe.functions.text import all_present, required
+from seekframe.session import shared_dir
 
-MAX_CATALOG_PATHS = 100_000  # the reader plans its splits from this list
+PATHS_AT_ONCE = 50_000  # the reader plans its splits from such a list on the driver
 
 
 def join_path(prefix: str, path: Column) -> Column:
@@ -16,20 +18,36 @@ def join_path(prefix: str, path: Column) -> Column:
 
 
 def load_catalog(
-    catalog: DataFrame, prefix: str, schema: str, multi_line: bool = True
+    catalog: DataFrame,
+    prefix: str,
+    schema: str,
+    multi_line: bool = True,
+    paths_at_once: int = PATHS_AT_ONCE,
 ) -> DataFrame:
-    """Rows of all JSON files that ``catalog(path)`` lists below ``prefix``, in one scan.
+    """Rows of all JSON files that ``catalog(path)`` lists below ``prefix``.
 
     Files hold one array each (``multi_line``) or one object per line. A file that is
-    missing, malformed JSON and a NULL in any field of ``schema`` all fail the job.
+    missing, malformed JSON and a NULL in any field of ``schema`` all fail the job, whichever
+    columns are read. Up to ``paths_at_once`` paths are one scan; a longer catalog goes
+    through the driver in lists of that length, each appended to a table in the shared folder.
     """
     spark = catalog.sparkSession
     listed = catalog.select(join_path(prefix, required("path")).alias("path")).distinct()
-    paths = [row.path for row in listed.limit(MAX_CATALOG_PATHS + 1).collect()]
-    if len(paths) > MAX_CATALOG_PATHS:
-        raise ValueError("catalog too long: read its folder as one tree instead")
-    docs = spark.read.schema(schema).json(paths, multiLine=multi_line, mode="FAILFAST")
-    return docs.select(*[required(c).alias(c) for c in docs.columns])
+    rows = (row.path for row in listed.toLocalIterator())
+
+    def scan(paths: list[str]) -> DataFrame:
+        docs = spark.read.schema(schema).json(paths, multiLine=multi_line, mode="FAILFAST")
+        return docs.where(all_present(*docs.columns))
+
+    paths, more = list(islice(rows, paths_at_once)), list(islice(rows, paths_at_once))
+    if not more:
+        return scan(paths)
+    landed = f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    scan(paths).write.parquet(landed)
+    while more:
+        scan(more).write.mode("append").parquet(landed)
+        more = list(islice(rows, paths_at_once))
+    return spark.read.parquet(landed)
 
 
 def read_tree(
@@ -45,9 +63,14 @@ def read_tree(
         .option("pathGlobFilter", "*.{" + ",".join(sorted(extensions)) + "}")
         .text(root, wholetext=True)
     )
-    below = "^.*?" + re.escape(root.rstrip("/")) + "/"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    below = system.makeQualified(folder).toUri().getPath().rstrip("/") + "/"
+    # The path is a URI: percent-encoded, where a plus sign stands for itself.
+    uri = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     docs = files.select(
-        F.regexp_replace("_metadata.file_path", below, "").alias("filename"),
+        F.substr(path, F.lit(len(below) + 1)).alias("filename"),
         F.col("value").alias("content"),
     )
     return docs if path_filter is None else docs.where(path_filter)

@@ -1,5 +1,6 @@
 """Stored tables: documents with vectors, published in versions, and their exports."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,10 +34,17 @@ def publish(df: DataFrame, root: str) -> str:
 
     Readers see the new version once its job has committed, and the old one until then.
     """
-    versions = _versions(df.sparkSession, root)
-    path = f"{root}/version={max(versions, default=0) + 1:06d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    version = max(_versions(df.sparkSession, root), default=0)
+    while True:
+        version += 1
+        path = f"{root}/version={version:06d}"
+        try:
+            df.write.mode("errorifexists").parquet(path)
+            return path
+        except AnalysisException as error:
+            # Another writer took the number: theirs stays, ours is the next one.
+            if "PATH_ALREADY_EXISTS" not in str(error):
+                raise
 
 
 def open_current(spark: SparkSession, root: str) -> DataFrame:
