@@ -1,3 +1,39 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others hold trained models, hashes or programs that SQL lacks; their tests compare them
+with plain Python.
+"""
+
+_SPACE = r"[\x20\x09-\x0D]"
+
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": rf"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS body FROM documents),
+cut AS (SELECT *, list_filter(regexp_split_to_array(body, '{_SPACE}+'), lambda x: x <> '') AS words,
+  list_filter(string_split(body, chr(10)),
+    lambda x: regexp_replace(x, '{_SPACE}', '', 'g') <> '') AS lines FROM texts),
+windows AS (SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM cut)),
+often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows)
+  WHERE n > 1),
+inside AS (SELECT r, count(DISTINCT i + j) AS n_repeat_words
+  FROM often CROSS JOIN (SELECT unnest(range(3)) AS j) GROUP BY r),
+counts AS (SELECT doc_id, body, len(words)::bigint AS n_words,
+  length(regexp_replace(body, '{_SPACE}', '', 'g'))::bigint AS word_chars,
+  length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::bigint AS n_dup_lines,
+  coalesce(n_repeat_words, 0)::bigint AS n_repeat_words
+  FROM cut LEFT JOIN inside USING (r)),
+shares AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  greatest(n_words, 1) AS n, greatest(word_chars, 1) AS c,
+  greatest(len(string_split(body, chr(10))), 1) AS l FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n OR word_chars > 15 * n OR 10 * n_symbols > n
+  OR 10 * n_dup_lines > 5 * l
+  OR 10 * (length(body) - length(replace(body, '!', ''))) > n
+  OR 10 * length(regexp_replace(body, '\P{{Lu}}', '', 'g')) > 4 * c
+  OR 10 * length(regexp_replace(body, '\P{{L}}', '', 'g')) < 6 * c
+  OR 10 * len(regexp_extract_all(body, '(?m)(\.\.\.|…)\s*$')) > 3 * l
+  OR 10 * len(regexp_extract_all(body, '(?m)^\s*[-*•]')) > 9 * l) AS kept
+FROM shares""",
+}
