@@ -4,6 +4,12 @@ The others hold trained models, hashes or programs that SQL lacks; their tests c
 with plain Python.
 """
 
+from seekframe.llm.licenses import GAP, MIN_COVER, NOTICES, PHRASES, WORD
+
+_TEMPLATES = ", ".join(
+    f"({number}, '{t.label}', string_split('{t.text}', ' '), {str(t.exact).lower()})"
+    for number, t in enumerate(PHRASES + NOTICES)
+)
 _SPACE = r"[\x20\x09-\x0D]"
 
 ORACLES: dict[str, str] = {
@@ -36,4 +42,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   OR 10 * len(regexp_extract_all(body, '(?m)(\.\.\.|…)\s*$')) > 3 * l
   OR 10 * len(regexp_extract_all(body, '(?m)^\s*[-*•]')) > 9 * l) AS kept
 FROM shares""",
+    "op9_licenses": rf"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '{WORD}') AS words FROM documents),
+grams AS (SELECT r, i - 1 AS pos, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts)),
+templates(template, label, w, exact) AS (VALUES {_TEMPLATES}),
+known AS (SELECT template, label, exact, len(w) AS t_words, q - 1 AS t_pos,
+  w[q] || ' ' || w[q + 1] || ' ' || w[q + 2] AS g
+  FROM (SELECT *, unnest(range(1, len(w) - 1)) AS q FROM templates)),
+votes AS (SELECT r, template, label, exact, t_words, pos - t_pos AS diagonal, count(*) AS votes,
+  min(pos) AS first, max(pos) + 2 AS last FROM grams JOIN known USING (g) GROUP BY ALL),
+opened AS (SELECT *, (exact OR coalesce(diagonal - lag(diagonal) OVER near > {GAP}, true))::int AS o
+  FROM votes WINDOW near AS (PARTITION BY r, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(o) OVER (PARTITION BY r, template ORDER BY diagonal) AS span
+  FROM opened),
+spans AS (SELECT r, template, label, exact, t_words, span, sum(votes) AS votes,
+  min(first) AS first, max(last) AS last FROM numbered GROUP BY ALL),
+covered AS (SELECT *, least(votes / (t_words - 2)::double, 1.0::double)
+  * least(1.0::double, 1.5::double * t_words / (last - first + 1)) AS cover FROM spans),
+judged AS (SELECT *, exact AND cover >= 1 AS place,
+  CASE WHEN exact THEN cover >= 1 ELSE cover >= {MIN_COVER} END AS verified FROM covered),
+found AS (SELECT r, count(*) FILTER (WHERE place) AS n_base,
+  min(first) FILTER (WHERE place) AS first_word, max(first) FILTER (WHERE place) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE place) AS base_labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE verified) AS labels,
+  max(CASE WHEN exact AND NOT place THEN 0 ELSE cover END) AS score FROM judged GROUP BY r)
+SELECT doc_id, len(words)::bigint AS n_words, coalesce(n_base, 0)::bigint AS n_base,
+  first_word::bigint AS first_word, last_word::bigint AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::double AS score FROM texts LEFT JOIN found USING (r)""",
 }
