@@ -223,7 +223,8 @@ def mix_sources(
             F.least((F.col("block") + 1) * block, end)
             - F.greatest(F.col("block") * block, F.col("start")),
         )
-        .join(drawn, ["number", "block"], "left")
+        # The planner takes what is made from the table of targets for as small as that table.
+        .join(drawn.hint("merge"), ["number", "block"], "left")
         .groupBy(*whole)
         .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("bigint").alias("taken"))
     )
