@@ -22,16 +22,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from seekframe.functions.text import required, tokens
 from seekframe.operators.rank import top_k
-from seekframe.operators.vector import first_k
 from seekframe.session import remove_path, slices, spread, union_all
 from seekframe.sources.tables import open_current, publish
 
+DOCS_PER_SHARD = 16_384  # a shard is inverted and searched in memory
+LISTED_TERMS = 1_000  # more are joined: a predicate of that length is slow to plan
 LAYOUT = "build string, key array<string>, text_fields array<string>, keyword_fields array<string>"
-SCORES_AT_ONCE = 1_000_000  # cells of a score block, to bound its memory
+MATCHES_AT_ONCE = 2_000_000  # postings scored in one block, to bound its memory
 
 
 @dataclass(frozen=True)
@@ -39,10 +47,14 @@ class KeywordIndex:
     """An index that has been written.
 
     ``documents`` holds ``(*key, *keyword_fields)`` and for each text field a struct of
-    its distinct ``terms``, their counts ``tf`` and the ``norm`` of its weights.
+    its distinct ``terms``, their counts ``tf`` and the ``norm`` of its weights. ``lists``
+    are the same inverted, by shards of documents: ``(shard, field, term, docs, shares)``
+    with the documents' numbers in the shard, sorted by field and term, and one row of field
+    '' per shard that holds the ``rows`` of its keys and keyword fields in key order.
     """
 
     documents: DataFrame
+    lists: DataFrame
     terms: DataFrame  # field, term, df, idf
     key: tuple[str, ...]
     text_fields: tuple[str, ...]
@@ -87,6 +99,13 @@ def build_keyword_index(
     documents = _with_norms(counts, terms, text_fields, key, broadcast_terms)
     documents.write.parquet(f"{build}/documents")
     remove_path(spark, f"{build}/counts")
+    stored = spark.read.parquet(f"{build}/documents")
+    n_docs = stored.count()
+    cores = spark.sparkContext.defaultParallelism
+    shards = max(1, -(-n_docs // DOCS_PER_SHARD), min(cores, n_docs // 500))
+    _inverted(stored, text_fields, key, keyword_fields or [], shards).write.parquet(
+        f"{build}/lists"
+    )
     layout = (build, list(key), list(text_fields), list(keyword_fields or []))
     publish(spark.createDataFrame([layout], LAYOUT), f"{path}/current")
     return open_keyword_index(spark, path)
@@ -97,6 +116,7 @@ def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     layout = open_current(spark, f"{path}/current").first()
     return KeywordIndex(
         documents=spark.read.parquet(f"{layout.build}/documents"),
+        lists=spark.read.parquet(f"{layout.build}/lists"),
         terms=spark.read.parquet(f"{layout.build}/terms"),
         key=tuple(layout.key),
         text_fields=tuple(layout.text_fields),
@@ -131,11 +151,10 @@ def keyword_search(
     ``filters`` maps keyword fields to one value for all queries; ``match`` names
     keyword fields that must equal the query's own column of that name.
 
-    Joining query terms to postings would emit a row for every query and document that
-    share a word, which for common words is nearly all of them. The documents are scored
-    in Arrow batches instead, against the broadcast query terms, and a task emits only
-    rows that reach the best k it has met. Query tables with more than ``slice_terms``
-    terms go out in slices, one scan of the documents each.
+    Only the lists of terms that some query asks for are read; they meet in their shard,
+    are scored there in Arrow batches and leave it as the best k per query. A word that a
+    third of the documents share is split over all shards. Query tables with more than
+    ``slice_terms`` terms go out in slices.
     """
     boosts = dict(boosts or {})
     unknown = set(boosts) - set(index.text_fields)
@@ -145,14 +164,10 @@ def keyword_search(
     if not_keyword:
         raise ValueError(f"filter on a field that is not a keyword: {sorted(not_keyword)}")
 
-    documents = index.documents.select(*index.key, *index.keyword_fields, *index.text_fields)
-    for name, value in (filters or {}).items():
-        documents = documents.where(F.col(name) == F.lit(value))
-    documents = documents.select(*index.key, *match, *index.text_fields)
     schema = StructType(
         [
             queries.schema["query_id"],
-            *[documents.schema[k] for k in index.key],
+            *[index.documents.schema[k] for k in index.key],
             StructField("score", DoubleType()),
         ]
     )
@@ -161,14 +176,105 @@ def keyword_search(
     scored = []
     for part in slices(queries, "query_id", n_terms * len(index.text_fields), slice_terms):
         weights = _query_weights(index, part, boosts, match).toArrow()
-        shared = documents.sparkSession.sparkContext.broadcast(
+        shared = index.lists.sparkSession.sparkContext.broadcast(
             _query_matrix(weights, index.text_fields, match)
         )
-        best = _best_of_batches(shared, index.key, index.text_fields, match, num_results)
-        scored.append(documents.mapInArrow(best, schema))
+        asked = _asked_lists(index, part, weights)
+        best = _best_of_shard(
+            shared, index.key, index.text_fields, dict(filters or {}), match, num_results
+        )
+        scored.append(asked.groupBy("shard").applyInArrow(best, schema))
     return top_k(union_all(scored), num_results, [F.desc("score"), *map(F.asc, index.key)])
 
 
+def _asked_lists(index: KeywordIndex, part: DataFrame, weights: pa.Table) -> DataFrame:
+    """The lists of all terms that ``part`` asks for, and the rows of every shard.
+
+    The term reaches the scan as a predicate, or as a join with the terms of one slice of
+    queries, whose size is bounded.
+    """
+    terms = pc.unique(weights["term"]).to_pylist()
+    if len(terms) <= LISTED_TERMS:
+        return index.lists.where(F.col("term").isin([*terms, ""]))
+    wanted = part.select(F.explode(F.concat(tokens(F.col("text")), F.array(F.lit("")))).alias("term"))
+    return index.lists.join(F.broadcast(wanted.distinct()), "term", "left_semi")
+
+
+def _inverted(
+    documents: DataFrame,
+    text_fields: list[str],
+    key: tuple[str, ...],
+    keyword_fields: list[str],
+    shards: int,
+) -> DataFrame:
+    """Lists of the terms of every shard of documents; documents move once."""
+    shard = F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int")
+    placed = documents.withColumn("shard", shard)
+    columns = [*key, *keyword_fields]
+    row = StructType([documents.schema[c] for c in columns])
+    schema = StructType(
+        [
+            StructField("shard", IntegerType()),
+            StructField("field", StringType()),
+            StructField("term", StringType()),
+            StructField("docs", ArrayType(IntegerType())),
+            StructField("shares", ArrayType(DoubleType())),
+            StructField("rows", ArrayType(row)),
+        ]
+    )
+
+    def invert(table: pa.Table) -> pa.Table:
+        number = table["shard"][0].as_py()
+        table = table.sort_by([(c, "ascending") for c in key]).combine_chunks()
+        n = table.num_rows
+        rows = pa.StructArray.from_arrays(
+            [table[c].combine_chunks() for c in columns],
+            fields=[table.schema.field(c) for c in columns],
+        )
+        held = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows)
+        parts = [
+            _lists_table(number, "", pa.array([""]), [0, 0], [], [], held),
+        ]
+        for name in text_fields:
+            field = table[name].combine_chunks()
+            terms, tf, norm = (field.field(part) for part in ("terms", "tf", "norm"))
+            sizes = terms.value_lengths().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(n), sizes)
+            share = tf.flatten().to_numpy(zero_copy_only=False)
+            share = share / norm.to_numpy(zero_copy_only=False)[doc]
+            encoded = terms.flatten().dictionary_encode()
+            names = encoded.dictionary
+            order = pc.sort_indices(names)
+            place = np.empty(len(names), np.int64)
+            place[order.to_numpy()] = np.arange(len(names))
+            code = place[encoded.indices.to_numpy(zero_copy_only=False)]
+            by_term = np.argsort(code, kind="stable")
+            ends = np.searchsorted(code[by_term], np.arange(len(names) + 1))
+            parts.append(
+                _lists_table(
+                    number, name, names.take(order), ends, doc[by_term], share[by_term],
+                    pa.nulls(len(names), held.type),
+                )
+            )
+        return pa.concat_tables(parts)
+
+    return placed.groupBy("shard").applyInArrow(invert, schema)
+
+
+def _lists_table(number: int, field: str, terms, ends, docs, shares, rows) -> pa.Table:
+    ends = pa.array(np.asarray(ends, np.int32))
+    return pa.table(
+        {
+            "shard": pa.array(np.full(len(terms), number, np.int32)),
+            "field": pa.array([field] * len(terms), pa.string()),
+            "term": terms,
+            "docs": pa.ListArray.from_arrays(ends, pa.array(np.asarray(docs, np.int32))),
+            "shares": pa.ListArray.from_arrays(ends, pa.array(np.asarray(shares, np.float64))),
+            "rows": rows,
+        }
+    )
+
+
 def count_terms(token_array: Column) -> Column:
     """STRUCT<terms, tf>: the distinct tokens of an array and how often each occurs."""
 
@@ -343,66 +449,122 @@ def _query_matrix(weights, text_fields: tuple[str, ...], match: tuple[str, ...])
     return asked["query_id"].combine_chunks(), [v[1:] for v in values], by_field
 
 
-def _best_of_batches(
-    shared, key: tuple[str, ...], text_fields: tuple[str, ...], match: tuple[str, ...], k: int
+def _best_of_shard(
+    shared,
+    key: tuple[str, ...],
+    text_fields: tuple[str, ...],
+    filters: dict[str, object],
+    match: tuple[str, ...],
+    k: int,
 ):
-    """Function for ``mapInArrow``: score every batch and pass on the best k per query."""
+    """Function for ``applyInArrow``: score the asked lists of a shard, keep the best k."""
 
-    def best(batches):
+    def best(table: pa.Table) -> pa.Table:
         ids, wanted, by_field = shared.value
-        reached = np.full((len(ids), k), -np.inf)  # best scores so far, worst of them first
+        head = table.filter(pc.equal(table["field"], ""))
+        rows = head["rows"].combine_chunks().flatten()
+        n = len(rows)
+        allowed = np.ones(n, bool)
+        for name, value in filters.items():
+            column = rows.field(rows.type.get_field_index(name))
+            equal = pc.equal(column, pa.scalar(value, column.type))
+            allowed &= equal.fill_null(False).to_numpy(zero_copy_only=False)
         groups = {value: i for i, value in enumerate(dict.fromkeys(wanted))}
-        asked_group = np.array([groups[value] for value in wanted])
-        step = max(1, SCORES_AT_ONCE // max(1, len(ids)))
-        for batch in batches:
-            for at in range(0, batch.num_rows if len(ids) else 0, step):
-                table = pa.Table.from_batches([batch.slice(at, step)])
-                # Rows in key order make every later "first of the best" the smallest key.
-                order = pc.sort_indices(table, [(c, "ascending") for c in key]).to_numpy()
-                place = np.argsort(order)
-                scores = sum(
-                    _field_scores(table[f].combine_chunks(), by_field[f], place, len(ids))
-                    for f in text_fields
-                )
-                scores = np.round(scores, 6)
-                scores[scores <= 0] = -np.inf
-                if match:
-                    values = zip(*[table[c].to_pylist() for c in match])
-                    group = np.array([groups.get(v, -1) for v in values])[order]
-                    scores[group[:, None] != asked_group[None, :]] = -np.inf
-                chosen, owner = first_k(scores, reached)
-                if len(chosen) == 0:
-                    continue
-                taken = table.select(list(key)).take(pa.array(order[chosen])).combine_chunks()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(owner)),
-                        *[taken[c].combine_chunks() for c in key],
-                        pa.array(scores[chosen, owner]),
-                    ],
-                    names=["query_id", *key, "score"],
-                )
+        asked_group = np.array([groups[value] for value in wanted], np.int64)
+        if match:
+            values = zip(*[rows.field(rows.type.get_field_index(c)).to_pylist() for c in match])
+            row_group = np.array([groups.get(v, -1) for v in values], np.int64)
+        lists, entries = _entries(table, text_fields, by_field)
+        owner, score, doc = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
+        for query, place, value in _scores(lists, entries, n):
+            good = (value > 0) & allowed[place]
+            if match:
+                good &= row_group[place] == asked_group[query]
+            query, place, value = query[good], place[good], value[good]
+            order = np.lexsort((place, -value, query))
+            query, place, value = query[order], place[order], value[order]
+            first = np.searchsorted(query, query)
+            near = np.arange(len(query)) - first < k
+            owner.append(query[near])
+            score.append(value[near])
+            doc.append(place[near])
+        taken = rows.take(pa.array(np.concatenate(doc)))
+        return pa.table(
+            [
+                ids.take(pa.array(np.concatenate(owner))),
+                *[taken.field(taken.type.get_field_index(c)) for c in key],
+                pa.array(np.concatenate(score)),
+            ],
+            names=["query_id", *key, "score"],
+        )
 
     return best
 
 
-def _field_scores(field, query_terms, place, n_queries: int):
-    """Scores of one text field, a row per document (at its ``place``), a column per query."""
-    vocabulary, starts, queries, weights = query_terms
-    terms, tf, norm = (field.field(name) for name in ("terms", "tf", "norm"))
-    n = len(field)
-    row = np.repeat(np.arange(n), terms.value_lengths().to_numpy(zero_copy_only=False))
-    at = pc.index_in(terms.flatten(), value_set=vocabulary)
-    found = at.is_valid().to_numpy(zero_copy_only=False)
-    code = at.drop_null().to_numpy(zero_copy_only=False)
-    row = row[found]
-    share = tf.flatten().to_numpy(zero_copy_only=False)[found]
-    share = share / norm.to_numpy(zero_copy_only=False)[row]
-    # Each term found meets all queries that hold it: entries starts[code] up to the next start.
-    times = starts[code + 1] - starts[code]
-    first = np.repeat(starts[code] - np.cumsum(times) + times, times)
-    entry = first + np.arange(len(first))
-    cell = np.repeat(place[row] * n_queries, times) + queries[entry]
-    product = np.repeat(share, times) * weights[entry]
-    scores = np.bincount(cell, weights=product, minlength=n * n_queries).astype(np.float64)
-    return scores.reshape(n, n_queries)
+def _entries(table: pa.Table, text_fields: tuple[str, ...], by_field):
+    """Lists of a shard end to end, and the (query, list, weight) that ask for them by query."""
+    docs, shares, starts, sizes = [], [], [], []
+    query, number, weight = [], [], []
+    total = lists = 0
+    for name in text_fields:
+        part = table.filter(pc.equal(table["field"], name)).combine_chunks()
+        if part.num_rows == 0:
+            continue
+        vocabulary, ends, queries, weights = by_field[name]
+        code = pc.index_in(part["term"].combine_chunks(), value_set=vocabulary)
+        part = part.filter(code.is_valid())
+        code = code.drop_null().to_numpy(zero_copy_only=False)
+        size = pc.list_value_length(part["docs"]).to_numpy()
+        docs.append(part["docs"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
+        shares.append(part["shares"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
+        starts.append(total + np.cumsum(size) - size)
+        sizes.append(size)
+        times = ends[code + 1] - ends[code]
+        at = np.repeat(ends[code] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        query.append(queries[at])
+        weight.append(weights[at])
+        number.append(lists + np.repeat(np.arange(len(code)), times))
+        total += int(size.sum())
+        lists += len(code)
+
+    def joined(parts, kind):
+        return np.concatenate([np.empty(0, kind), *parts]).astype(kind)
+
+    query = joined(query, np.int64)
+    order = np.argsort(query, kind="stable")
+    held = joined(docs, np.int64), joined(shares, float), joined(starts, np.int64), joined(sizes, np.int64)
+    return held, (query[order], joined(number, np.int64)[order], joined(weight, float)[order])
+
+
+def _scores(lists, entries, n: int):
+    """(query, document, score) of all pairs that share a term, in blocks of whole queries.
+
+    A block with few matches is summed by sorting its cells, one with many in an array of
+    all its cells; either costs in step with the matches.
+    """
+    docs, shares, starts, sizes = lists
+    query, number, weight = entries
+    if not len(query):
+        return
+    opens = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
+    load = np.add.reduceat(sizes[number], opens)
+    block = (np.cumsum(load) - 1) // MATCHES_AT_ONCE
+    for b in np.unique(block):
+        own = np.flatnonzero(block == b)
+        low = opens[own[0]]
+        high = opens[own[-1] + 1] if own[-1] + 1 < len(opens) else len(query)
+        times = sizes[number[low:high]]
+        first = starts[number[low:high]] - np.cumsum(times) + times
+        at = np.repeat(first, times) + np.arange(times.sum())
+        asked = query[opens[own]]
+        row = np.repeat(np.searchsorted(asked, query[low:high]), times)
+        value = np.repeat(weight[low:high], times) * shares[at]
+        cell = row * n + docs[at]
+        if len(asked) * n <= 4 * len(cell):
+            summed = np.bincount(cell, weights=value, minlength=len(asked) * n)
+            found = np.flatnonzero(summed)
+            total = summed[found]
+        else:
+            found, inverse = np.unique(cell, return_inverse=True)
+            total = np.bincount(inverse, weights=value)
+        yield asked[found // n], found % n, np.round(total, 6)

@@ -37,6 +37,8 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     for column in got.columns:
+        if str(want[column].dtype) == "Int64" and got[column].dtype.kind == "f":
+            got[column] = got[column].astype("Int64")  # whole numbers with NULLs among them
         if got[column].dtype.kind != want[column].dtype.kind:
             return f"{column}: {got[column].dtype} != {want[column].dtype}"
         same = (got[column] == want[column]) | (got[column].isna() & want[column].isna())

@@ -148,3 +148,25 @@ def test_payload(spark):
     assert [(r.doc_id, r.t, r.rank) for r in rows] == [(7, "a", 1), (8, "b", 2)]
     with pytest.raises(ValueError, match="payload named like"):
         attach_payload(hits, docs.withColumnRenamed("t", "score"), ["score"])
+
+
+def test_lists_are_pruned_by_term_and_meet_once(spark, tmp_path, monkeypatch):
+    from seekframe.operators import keyword
+
+    texts = ["red fox", "red hen", "blue fox", "grey owl red", "fox fox red", "hen", ""] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "red fox"), (2, "owl"), (3, "nothing")], "query_id long, text string")
+    whole = build_keyword_index(docs, str(tmp_path / "one"), ["text"])
+    wanted = keyword_search(whole, asked, 5).orderBy("query_id", "rank").collect()
+    assert {r.query_id for r in wanted} == {1, 2}
+    monkeypatch.setattr(keyword, "DOCS_PER_SHARD", 4)
+    monkeypatch.setattr(keyword, "MATCHES_AT_ONCE", 3)
+    index = build_keyword_index(docs, str(tmp_path / "many"), ["text"])
+    assert index.lists.select("shard").distinct().count() > 1
+    hits = keyword_search(index, asked, 5)
+    assert hits.orderBy("query_id", "rank").collect() == wanted
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [" in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # lists to their shard, hits to their query
+    monkeypatch.setattr(keyword, "LISTED_TERMS", 1)
+    assert keyword_search(index, asked, 5).orderBy("query_id", "rank").collect() == wanted
