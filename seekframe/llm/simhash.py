@@ -169,8 +169,9 @@ def links(nodes: DataFrame, tile: int = TILE) -> DataFrame:
         some_filed, some_probes = (x.join(hot, "key", "left_anti") for x in (filed, probes))
     else:
         some_filed, some_probes = filed, probes
+    # The planner takes the keys of a node for no larger than the node: never broadcast them.
     pairs = some_probes.select("key", F.col("fp").alias("a")).join(
-        some_filed.select("key", F.col("fp").alias("b")), "key"
+        some_filed.select("key", F.col("fp").alias("b")).hint("merge"), "key"
     )
     found = pairs.where(
         (F.col("a") != F.col("b")) & _viable(F.col("a"), F.col("b"), F.col("key"))
