@@ -151,7 +151,7 @@ def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     )
     known = (
         spans.withColumn("word", F.expr("substring(part, start + 1, end - start)"))
-        .join(counts, "word")
+        .join(counts.hint("merge"), "word")  # either side may be large, whatever is planned
         .groupBy("part")
         .agg(F.collect_list(F.struct("start", "end", "count")).alias("known"))
     )
@@ -169,7 +169,7 @@ def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     words = stored(
-        parts.join(known, "part", "left").select("part", split("part", "known").alias("words")),
+        parts.join(known.hint("merge"), "part", "left").select("part", split("part", "known").alias("words")),
         "host-parts",
     )
     placed = hosts.select("host", F.posexplode(F.split("host", PARTS)).alias("at", "part"))
