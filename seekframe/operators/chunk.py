@@ -1,7 +1,5 @@
 """Overlapping chunks of a text."""
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,25 +14,31 @@ def chunk_documents(
     text, so no window lies inside its predecessor, and a text no longer than
     ``size`` gives one chunk.
 
-    The text is cut once into pieces of gcd(size, step), from which every window is
-    joined. A ``substring`` per window would count code points from the start of the
-    text each time, which is quadratic in the length of long texts.
+    The text is cut once into pieces of ``step``; a window is a run of whole pieces and the
+    start of the next. A ``substring`` of the text per window would count code points from
+    its start each time, which is quadratic in the length of long texts.
     """
     if not size >= step > 0:
         raise ValueError("size >= step > 0 is required")
-    unit = math.gcd(size, step)
-    per_step, per_size = step // unit, size // unit
+    whole, rest = divmod(size, step)
 
     others = [c for c in docs.columns if c != text]
     body = F.coalesce(F.col(text), F.raise_error(F.lit(f"NULL in text column {text}")))
-    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{unit}}}"), F.lit(0))
-    cut = docs.select(*others, pieces.alias("_pieces"))
-    last = F.greatest(F.lit(0), F.ceil((F.size("_pieces") - per_size) / F.lit(per_step))).cast("int")
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    cut = docs.select(*others, pieces.alias("_pieces"), F.length(body).alias("_length"))
+    last = F.greatest(F.lit(0), F.ceil((F.col("_length") - size) / F.lit(step))).cast("int")
+
+    def content(i):
+        full = F.array_join(F.slice("_pieces", i + 1, whole), "")
+        if not rest:
+            return full
+        return F.concat(full, F.substring(F.coalesce(F.get("_pieces", i + whole), F.lit("")), 1, rest))
+
     windows = F.transform(
         F.sequence(F.lit(0), last),
         lambda i: F.struct(
             (i.cast("long") * step).alias("start"),
-            F.array_join(F.slice("_pieces", i * per_step + 1, per_size), "").alias("content"),
+            content(i).alias("content"),
         ),
     )
     return cut.select(*others, F.inline(windows))

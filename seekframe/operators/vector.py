@@ -129,8 +129,8 @@ def _best_of_batches(shared, key: tuple[str, ...], on: tuple[str, ...], metric:
             x = _matrix(table["vec"], metric)
             if x.shape[1] != matrix.shape[1]:
                 raise ValueError(f"vectors are {x.shape[1]} wide, queries {matrix.shape[1]}")
-            members = {}
-            for i, value in enumerate(_rows(table, on)):
+            members = {} if on else {(): np.arange(table.num_rows)}
+            for i, value in enumerate(_rows(table, on) if on else ()):
                 members.setdefault(value, []).append(i)
             for value, rows in members.items():
                 asked = np.array(groups.get(value, []), dtype=np.int64)

@@ -50,3 +50,15 @@ def test_other_columns_are_kept_and_null_fails(spark):
 def test_bad_window(spark, size, step):
     with pytest.raises(ValueError):
         cut(spark, ["abc"], size, step)
+
+
+def test_sizes_without_a_common_divisor(spark):
+    text = "".join(chr(97 + i % 26) for i in range(1000)) + "\U0001f600é"
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, "short")], "doc_id int, text string")
+    for size, step in [(200, 99), (101, 100), (7, 3), (50, 50)]:
+        got = {(r.doc_id, r.start): r.content for r in chunk_documents(docs, "text", size, step).collect()}
+        wanted = {}
+        for key, whole in [(1, text), (2, ""), (3, "short")]:
+            last = max(0, -(-(len(whole) - size) // step))
+            wanted |= {(key, i * step): whole[i * step : i * step + size] for i in range(last + 1)}
+        assert got == wanted
