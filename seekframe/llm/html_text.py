@@ -1,4 +1,4 @@
-"""Main text of web pages: markup first, repeated substrings of the host where it is silent.
+"""Main text of web pages: markup first, then repeated substrings of the host.
 
 A page is read as blocks of text in order. Markup settles most of them: menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments, scripts and styles go, and where
@@ -7,11 +7,19 @@ lies inside it. A page without any such part is settled by its host. The token s
 the host's pages, outside their articles, form one text whose suffixes are named by their
 first ``DEPTH`` tokens; equal names are neighbours in its suffix array, and those of two
 distinct pages mark a repeated substring. Runs of such names cover what repeats, however
-long it is. A block that is covered for the most part is boilerplate; the others are kept
-whole.
+long it is: a token is covered exactly if a full suffix array has it in a common substring of
+``DEPTH`` tokens of two pages. A block that is covered for the most part is boilerplate; the
+others are kept whole.
+
+Blocks inside an article meet the repeats as well. Documents do share passages, so a repeat
+alone is not enough there: a block goes if most of it is covered by what the host repeats
+outside its articles and has inside two distinct articles or more (a teaser repeats one), or
+if the block as a whole is in at least half of the host's distinct articles, ``LEAST`` at
+least.
 
 Suffix names are counted per host by Spark with partial sums, so a host that holds most pages
-is no single task's work; only pages that markup leaves open meet the counts again.
+is no single task's work. Articles are compared with the repeated names where they are read,
+in slices of ``SLICE`` names; only pages with something to remove meet the counts again.
 
 Defined results: a null html counts as empty and has empty text. Pages of equal html are one
 page to the search for repeats, so copies do not erase each other. Repeated rows and null
@@ -34,6 +42,8 @@ from seekframe.llm.common import stored
 
 DEPTH = 6
 MIN_COVER = 0.5
+LEAST = 3
+SLICE = 1 << 21  # names that a task compares at once
 
 _TAG = re.compile(
     r"""<(?:(/?)([a-zA-Z][\w:-]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+|[^>]*+)|[!?/][^>]*+)>"""
@@ -86,11 +96,19 @@ class Page:
             return "" if not self.texts else None
         return " ".join(t for t, z in zip(self.texts, self.zones, strict=True) if z == best)
 
+    def _part(self) -> int:
+        best = max(self.zones, default=OPEN)
+        return best if best >= CONTENT else ARTICLE + 1
+
     def outside(self) -> list[list[str]]:
         """Tokens of each block that is not in the part, none for the others."""
-        best = max(self.zones, default=OPEN)
-        inside = best if best >= CONTENT else ARTICLE + 1
-        return [t.split() if z != inside else [] for t, z in zip(self.texts, self.zones, strict=True)]
+        part = self._part()
+        return [t.split() if z != part else [] for t, z in zip(self.texts, self.zones, strict=True)]
+
+    def inside(self) -> list[str]:
+        """The blocks in the part."""
+        part = self._part()
+        return [t for t, z in zip(self.texts, self.zones, strict=True) if z == part]
 
 
 def _zone(tag: str, attributes: str, around: int) -> int:
@@ -221,17 +239,38 @@ def _host(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower() if mark else ""
 
 
+def _digest(text: str, host: str) -> int:
+    """A signed hash of a text within the host."""
+    named = f"{host}\n{text}".encode("utf-8", "surrogatepass")
+    return xxhash.xxh64_intdigest(named) - (1 << 63)
+
+
+def _inside_names(page: Page, host: str) -> np.ndarray:
+    return suffix_names([t for b in page.inside() for t in b.split()], host).view(np.int64)
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        settled, names = [], []
+        settled, names, hosts, articles, blocks = [], [], [], [], []
         for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            page = read_page(html)
+            page, host = read_page(html), _host(url)
             tokens = [t for block in page.outside() for t in block]
-            settled.append(page.settled() is not None)
-            names.append(suffix_names(tokens, _host(url)).view(np.int64))
+            text = page.settled()
+            settled.append(text is not None)
+            names.append(suffix_names(tokens, host).view(np.int64))
+            hosts.append(_digest("", host))
+            articles.append(_digest(text or "", host))
+            blocks.append(sorted({_digest(b, host) for b in page.inside()}))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(settled), pa.array(names, pa.list_(pa.int64()))],
-            names=["page", "settled", "names"],
+            [
+                batch.column(0),
+                pa.array(settled),
+                pa.array(names, pa.list_(pa.int64())),
+                pa.array(hosts, pa.int64()),
+                pa.array(articles, pa.int64()),
+                pa.array(blocks, pa.list_(pa.int64())),
+            ],
+            names=["page", "settled", "names", "host", "article", "blocks"],
         )
 
 
@@ -244,35 +283,117 @@ def _settled_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield out.filter(out.column(3).is_valid())
 
 
-def _kept(html: str | None, starts: list[int]) -> str:
-    """Blocks of an unsettled page that are not chrome and not covered for the most part."""
-    page = read_page(html)
-    blocks = page.outside()
+def _covered(blocks: list[list[str]], starts: list[int]) -> list[bool]:
+    """Whether suffixes at ``starts`` cover each block of a stream for the most part."""
     covered = np.zeros(sum(map(len, blocks)) + DEPTH, bool)
     for start in starts:
         covered[start : start + DEPTH] = True
-    kept, at = [], 0
-    for text, zone, tokens in zip(page.texts, page.zones, blocks, strict=True):
-        share = covered[at : at + len(tokens)].mean() if tokens else 0.0
+    out, at = [], 0
+    for tokens in blocks:
+        out.append(bool(tokens) and covered[at : at + len(tokens)].mean() >= MIN_COVER)
         at += len(tokens)
-        if zone != CHROME and share < MIN_COVER:
-            kept.append(text)
-    return " ".join(kept)
+    return out
+
+
+def _kept(
+    html: str | None,
+    starts: list[int],
+    host: str = "",
+    covered_inside: list[int] = (),
+    common: list[int] = (),
+) -> str:
+    """Blocks of a page that are not chrome, not covered for the most part and not common."""
+    page = read_page(html)
+    if page.settled() is None:
+        covered = _covered(page.outside(), starts)
+        zoned = zip(page.texts, page.zones, covered, strict=True)
+        return " ".join(text for text, zone, gone in zoned if zone != CHROME and not gone)
+    covered, known = set(covered_inside), set(common)
+    return " ".join(
+        text
+        for number, text in enumerate(page.inside())
+        if number not in covered and (not known or _digest(text, host) not in known)
+    )
 
 
 def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        columns = (batch.column(i).to_pylist() for i in (1, 3, 4, 5, 6))
         texts = [
-            _kept(html, starts or [])
-            for html, starts in zip(
-                batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True
-            )
+            _kept(html, starts or [], _host(url), covered or [], common or [])
+            for url, html, starts, covered, common in zip(*columns, strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(texts, pa.string())], names=["key", "url", "page", "text"]
         )
 
 
+def _repeats_inside(source: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Where articles have names that repeat outside of them, a row per block that one is in:
+    (page, article, name, block, size, low, high), tokens ``low`` to ``high`` of ``size``."""
+    spark = source.sparkSession
+    slices = max(1, -(-repeated.count() // SLICE))
+    found = None
+    for number in range(slices):
+        part = repeated.where(F.pmod(F.col("name"), F.lit(slices)) == number).toArrow()
+        shared = spark.sparkContext.broadcast(np.sort(part["name"].to_numpy()))
+
+        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            for batch in batches if len(known) else ():
+                rows: list[tuple] = []
+                for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    read, host = read_page(html), _host(url)
+                    names = _inside_names(read, host)
+                    place = np.minimum(np.searchsorted(known, names), len(known) - 1)
+                    starts = np.flatnonzero(known[place] == names)
+                    article = _digest(read.settled() or "", host) if len(starts) else 0
+                    if not len(starts):
+                        continue
+                    ends = np.cumsum([len(b.split()) for b in read.inside()])
+                    for i in starts.tolist():
+                        block = int(np.searchsorted(ends, i, side="right"))
+                        while block < len(ends) and (before := int(ends[block - 1]) if block else 0) < i + DEPTH:
+                            low, high = max(i, before), min(i + DEPTH, int(ends[block])) - 1
+                            size = int(ends[block]) - before
+                            rows.append(
+                                (page, article, int(names[i]), block, size, low - before, high - before)
+                            )
+                            block += 1
+                columns = list(zip(*rows, strict=True)) or [()] * 7
+                kinds = [pa.int64()] * 3 + [pa.int32()] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    names=["page", "article", "name", "block", "size", "low", "high"],
+                )
+
+        met = source.select("page", "url", "html").mapInArrow(
+            look, "page bigint, article bigint, name bigint, block int, size int, low int, high int"
+        )
+        found = met if found is None else found.unionByName(met)
+    return stored(found, "inside")
+
+
+def _common_blocks(streams: DataFrame) -> DataFrame:
+    """(page, block): blocks in at least half of their host's distinct articles."""
+    settled = streams.where("settled")
+    articles = settled.select("host", "article").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("n_articles")
+    )
+    placed = settled.select("page", "host", "article", F.explode("blocks").alias("block"))
+    common = (
+        placed.select("host", "block", "article")
+        .distinct()
+        .groupBy("host", "block")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= LEAST)
+        .join(articles, "host")
+        .where("2 * n >= n_articles")
+        .select("block")
+    )
+    return stored(placed.select("page", "block").join(common, "block").distinct(), "common")
+
+
 def extract_text(
     pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
@@ -287,7 +408,9 @@ def extract_text(
     )
     streams = stored(
         source.select("page", "url", "html").mapInArrow(
-            _streams, "page bigint, settled boolean, names array<bigint>"
+            _streams,
+            "page bigint, settled boolean, names array<bigint>, host bigint, article bigint,"
+            " blocks array<bigint>",
         ),
         "streams",
     )
@@ -302,14 +425,39 @@ def extract_text(
         "repeated",
     )
     unsettled = streams.where("not settled").dropDuplicates(["page", "names"])
-    if not unsettled.isEmpty():
-        starts = (
-            unsettled.select("page", F.posexplode("names").alias("start", "name"))
-            .join(repeated, "name")
-            .groupBy("page")
-            .agg(F.collect_set("start").alias("starts"))
+    open_pages = unsettled.select("page").distinct()
+    placed = unsettled.select("page", F.posexplode("names").alias("start", "name")).join(
+        repeated, "name"
+    )
+    inside = _repeats_inside(source, repeated)
+    shared = (
+        inside.groupBy("name")
+        .agg(F.min("article").alias("least"), F.max("article").alias("most"))
+        .where("least < most")
+    )
+    words = F.array_distinct(F.flatten(F.collect_set(F.sequence("low", "high"))))
+    covered = (
+        inside.join(shared, "name")
+        .groupBy("page", "block", "size")
+        .agg(F.size(words).alias("n"))
+        .where(F.col("n") >= MIN_COVER * F.col("size"))
+        .groupBy("page")
+        .agg(F.collect_set("block").alias("covered"))
+    )
+    starts = placed.groupBy("page").agg(F.collect_set("start").alias("starts"))
+    common = _common_blocks(streams).groupBy("page").agg(F.collect_set("block").alias("common"))
+    asked = stored(
+        open_pages.join(starts, "page", "left")
+        .join(covered, "page", "full")
+        .join(common, "page", "full"),
+        "asked",
+    )
+    if not asked.isEmpty():
+        still = source.join(asked, "page").select(
+            "key", "url", "page", "html", "starts", "covered", "common"
+        )
+        rest = source.join(asked, "page", "left_anti").select("key", "url", "page", "html")
+        texts = rest.mapInArrow(_settled_texts, schema).unionByName(
+            still.mapInArrow(_open_texts, schema)
         )
-        asked = unsettled.select("page").distinct().join(starts, "page", "left")
-        still = source.join(asked, "page").select("key", "url", "page", "html", "starts")
-        texts = texts.unionByName(still.mapInArrow(_open_texts, schema))
     return texts.select(F.col("key").alias(key), F.col("url").alias(url), "text")

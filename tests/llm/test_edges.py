@@ -338,3 +338,36 @@ def test_near_dedup_keeps_one_of_each_group(spark, awkward):
     groups = brute.groups({k: brute.simhash(t) for k, t in TEXTS.items()})
     assert kept.count() == len(set(groups.values()))
     assert kept.agg(F.count_distinct("doc_id")).first()[0] == len(set(groups.values()))
+
+
+def _articles(host, extra, outside="", n=6):
+    """Pages of a host with one paragraph of their own and an unclassed block in the article."""
+    return [
+        (
+            i,
+            f"http://{host}.example/{i}",
+            f"<p>{outside}</p><article><p>{' '.join(f'{host}{i}x{j}' for j in range(20))}</p>"
+            f"<div>{extra(i)}</div></article>",
+        )
+        for i in range(n)
+    ]
+
+
+def test_html_repeats_decide_inside_articles(spark, monkeypatch):
+    notice = "we use small files on your device to make this site work"
+    monkeypatch.setattr(html_text, "SLICE", 5)
+    rows = (
+        # The same block in every article, then one that varies and repeats outside as well.
+        _articles("bar", lambda i: "Share Print Mail")
+        + [(100 + k, u, h) for k, u, h in _articles("note", lambda i: f"{notice} {i} {i}", notice)]
+        # A passage that two of six articles share, and teasers of one article on every page.
+        + [(200 + k, u, h) for k, u, h in _articles("quote", lambda i: notice if i < 2 else f"q{i}")]
+        + [(300 + k, u, h) for k, u, h in _articles("tease", lambda i: notice if i < 1 else f"t{i}", notice)]
+    )
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    for i in range(6):
+        assert found[i] == " ".join(f"bar{i}x{j}" for j in range(20))
+        assert found[100 + i] == " ".join(f"note{i}x{j}" for j in range(20))
+    assert found[200].endswith(notice) and found[201].endswith(notice) and found[202].endswith("q2")
+    assert found[300].endswith(notice) and found[301].endswith("t1")
