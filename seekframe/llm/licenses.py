@@ -7,6 +7,13 @@ insertion or omission moves the rest to a neighbouring one. Votes are summed per
 neighbouring diagonals are merged into spans, and a span is verified by the share of the
 template that its exact matches cover and by its length.
 
+An edited word breaks up to three k-grams, half of a short notice. Spans are therefore also
+verified by their words: the template is aligned with the text around its merged diagonals,
+and its share of aligned words, less for inserted ones, is the cover. Notices differ by one
+word, as lgpl and gpl do, so of templates aligned with the same place only the best remain:
+most matched words less edits, then most matched words; further wordings and other licenses
+take part in that. ``MIN_COVER`` of the words always leaves an unbroken k-gram.
+
 Templates marked exact are phrases whose words must stand consecutively: each diagonal with
 all the votes is one place, and diagonals are not merged.
 
@@ -15,9 +22,11 @@ once and returned as often as they came; a null id is an id like any other. Only
 text columns are used, so further columns cannot clash.
 """
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,12 +83,48 @@ NOTICES = (
 )
 
 
+#: Other wordings of notices.
+VARIANTS = (Template("gpl-3", "licensed under the gnu general public license v3"),)
+
+#: Other licenses whose wording is near a notice; they only keep it from being named.
+RIVALS = (
+    Template("gpl-any", "licensed under the gnu general public license"),
+    Template("gpl-2", "licensed under the gnu general public license version 2"),
+    Template("gpl-2", "licensed under the gnu general public license v2"),
+    Template("agpl-3", "licensed under the gnu affero general public license version 3"),
+    Template("agpl-3", "licensed under the gnu affero general public license v3"),
+    Template("agpl-3", "licensed under the gnu affero general public license"),
+    Template("lgpl", "licensed under the gnu lesser general public license version 3"),
+    Template("lgpl", "licensed under the gnu lesser general public license v3"),
+    Template("apache-1", "licensed under the apache license version 1 1"),
+    Template("mpl-1", "subject to the terms of the mozilla public license v 1 1"),
+    Template("mpl-1", "subject to the terms of the mozilla public license version 1 1"),
+) + tuple(
+    Template(label, f"licensed under a creative commons attribution {kind} {end}")
+    for label, kind in (
+        ("cc-by-sa", "sharealike"),
+        ("cc-by-nc", "noncommercial"),
+        ("cc-by-nd", "noderivatives"),
+        ("cc-by-nc-sa", "noncommercial sharealike"),
+        ("cc-by-nc-nd", "noncommercial noderivatives"),
+    )
+    for end in ("license", "4 0 international license")
+)
+
+
 def license_words(text: Column) -> Column:
     """Lower-case words: runs of digits, letters a to z and characters beyond ASCII."""
     lowered = F.translate(text, _UPPER, _UPPER.lower())
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
+def _cut(docs: DataFrame, key: str, text: str) -> DataFrame:
+    source = docs.select(F.col(key).alias("key"), text_of(text).alias("body"))
+    return source.select(
+        "key", F.xxhash64("body").alias("text_hash"), license_words(F.col("body")).alias("words")
+    )
+
+
 def _grams(words: Column) -> Column:
     n = F.size(words)
     at = F.when(n >= GRAM, F.sequence(F.lit(0), n - GRAM)).otherwise(F.array().cast("array<int>"))
@@ -101,6 +146,104 @@ def _template_grams(spark, templates: Sequence[Template]) -> DataFrame:
     return spark.createDataFrame(rows, schema).withColumn("h", F.xxhash64("t_gram"))
 
 
+def align(template: list[str], window: list[str]) -> tuple[int, int, int, int]:
+    """(matched words less edits, matched words, first, end) of the best place in ``window``."""
+    above = [(0, 0, i) for i in range(len(window) + 1)]
+    for word in template:
+        score, matched, start = above[0]
+        row = [(score - 1, matched, start)]
+        for i, other in enumerate(window):
+            score, matched, start = above[i]
+            taken = (score + 1, matched + 1, start) if word == other else (score - 1, matched, start)
+            left, up = row[i], above[i + 1]
+            row.append(max(taken, (left[0] - 1, *left[1:]), (up[0] - 1, *up[1:])))
+        above = row
+    end = max(range(len(above)), key=lambda i: (above[i][:2], -i))
+    return (*above[end], end)
+
+
+class NearCopies:
+    """Labels of the notices that a text holds with few words edited."""
+
+    def __init__(self, templates: Sequence[Template], min_cover: float) -> None:
+        self.named = {t.label for t in templates if not t.exact}
+        own = [t for t in templates if not t.exact]
+        others = [*VARIANTS, *RIVALS]
+        self.silent = {len(own) + i for i, t in enumerate(others) if t not in VARIANTS}
+        self.templates = [(t.label, t.text.split(" ")) for t in (*own, *others)]
+        self.min_cover = min_cover
+        self.places: dict[str, list[tuple[int, int]]] = {}
+        for number, (_, words) in enumerate(self.templates):
+            for i in range(len(words) - GRAM + 1):
+                self.places.setdefault(" ".join(words[i : i + GRAM]), []).append((number, i))
+
+    def find(self, words: list[str]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, last word, cover) of each place, best templates only."""
+        diagonals: dict[int, set[int]] = {}
+        for p in range(len(words) - GRAM + 1):
+            for number, q in self.places.get(" ".join(words[p : p + GRAM]), ()):
+                diagonals.setdefault(number, set()).add(p - q)
+        found = []
+        for number, votes in diagonals.items():
+            label, template = self.templates[number]
+            ordered, start = sorted(votes), 0
+            for i in range(1, len(ordered) + 1):
+                if i < len(ordered) and ordered[i] - ordered[i - 1] <= GAP:
+                    continue
+                low = max(0, ordered[start] - GAP)
+                window = words[low : ordered[i - 1] + len(template) + GAP]
+                start = i
+                common = Counter(template) & Counter(window)
+                if common.total() < self.min_cover * len(template):
+                    continue
+                score, matched, first, end = align(template, window)
+                cover = matched / max(len(template), end - first)
+                if cover >= self.min_cover:
+                    found.append((score, matched, low + first, low + end, cover, label, number))
+        return [
+            (label, first, end - 1, cover)
+            for score, matched, first, end, cover, label, number in found
+            if number not in self.silent
+            and label in self.named
+            and not any(
+                (o[0], o[1]) > (score, matched) and o[2] < end and first < o[3] and o[5] != label
+                for o in found
+            )
+        ]
+
+
+def near_copies(cut: DataFrame, templates: Sequence[Template], min_cover: float) -> DataFrame:
+    """Spans of ``cut`` (key, text_hash, words) that are verified by their words.
+
+    Only texts with a k-gram of a template leave the JVM.
+    """
+    finder = NearCopies(templates, min_cover)
+    kind = cut.schema["key"].dataType.simpleString()
+    known = list(finder.places)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at = [], []
+            for number, words in enumerate(batch.column(2).to_pylist()):
+                for place in finder.find(words or []):
+                    rows.append((len(words), *place))
+                    at.append(number)
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).take(pa.array(at, pa.int64())) for i in (0, 1)]
+                + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["key", "text_hash", "n_words", "label", "first", "last", "cover"],
+            )
+
+    # Not a filter, which would be pushed down and cut the text anew for every k-gram.
+    seeded = F.exists(_grams(F.col("words")), lambda g: g.isin(known))
+    return cut.select("key", "text_hash", F.when(seeded, F.col("words")).alias("words")).mapInArrow(
+        look,
+        f"key {kind}, text_hash bigint, n_words int, label string, first int, last int, cover double",
+    )
+
+
 def license_spans(
     docs: DataFrame,
     templates: Sequence[Template] = PHRASES + NOTICES,
@@ -112,10 +255,7 @@ def license_spans(
     Each text also has one row with template -1. The template table is given by the caller
     as a list and broadcast; its size does not depend on the documents.
     """
-    source = docs.select(F.col(key).alias("key"), text_of(text).alias("body"))
-    cut = source.select(
-        "key", F.xxhash64("body").alias("text_hash"), license_words(F.col("body")).alias("words")
-    )
+    cut = _cut(docs, key, text)
     grams = cut.select(
         "key", "text_hash", F.size("words").alias("n_words"), _grams(F.col("words")).alias("grams")
     )
@@ -179,9 +319,13 @@ def scan_licenses(
     """Per row of ``docs``: the places of exact phrases and the labels of all verified spans.
 
     Columns: key, n_words, n_base, first_word, last_word, base_labels, labels, score; the
-    score is the best cover of any span, 1.0 where a phrase stands.
+    score is the best cover of any span, by k-grams or verified by words, 1.0 where a phrase
+    stands.
     """
-    spans = license_spans(docs, templates, key, text)
+    near = near_copies(_cut(docs, key, text), templates, min_cover).select(
+        "*", F.lit(len(templates)).alias("template"), F.lit(False).alias("exact")
+    )
+    spans = license_spans(docs, templates, key, text).unionByName(near, allowMissingColumns=True)
     place = F.col("exact") & (F.col("template") != _NONE) & (F.col("cover") >= 1.0)
     verified = (F.col("template") != _NONE) & (
         place | (~F.col("exact") & (F.col("cover") >= min_cover))
@@ -190,7 +334,8 @@ def scan_licenses(
     def joined(condition: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
 
-    scanned = spans.groupBy("key", "text_hash", "n_words", "copies").agg(
+    scanned = spans.groupBy("key", "text_hash", "n_words").agg(
+        F.max("copies").alias("copies"),
         F.count(F.when(place, 1)).alias("n_base"),
         F.min(F.when(place, F.col("first"))).cast("bigint").alias("first_word"),
         F.max(F.when(place, F.col("first"))).cast("bigint").alias("last_word"),

@@ -371,3 +371,27 @@ def test_html_repeats_decide_inside_articles(spark, monkeypatch):
         assert found[100 + i] == " ".join(f"note{i}x{j}" for j in range(20))
     assert found[200].endswith(notice) and found[201].endswith(notice) and found[202].endswith("q2")
     assert found[300].endswith(notice) and found[301].endswith("t1")
+
+
+def test_licenses_with_one_word_edited_anywhere(spark):
+    rows, wanted = [], []
+    for notice in licenses.NOTICES:
+        words = notice.text.split()
+        for i in range(1, len(words) - 1):
+            for edited in (words[:i] + ["zz"] + words[i:], words[:i] + ["zz"] + words[i + 1 :]):
+                rows.append((len(rows), "before it " + " ".join(edited) + " and after"))
+                wanted.append(notice.label)
+    others = {
+        "licensed under the gnu general public license v3": "gpl-3",
+        "licensed under the gnu general public license": "",
+        "licensed under the gnu affero general public license version 3": "",
+        "licensed under the gnu lesser general public license version 3": "lgpl",
+        "licensed under a creative commons attribution noncommercial 4 0 international license": "",
+        "licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa",
+    }
+    rows += [(10_000 + i, t) for i, t in enumerate(others)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    missed = [rows[i][1] for i, label in enumerate(wanted) if label not in found[i].labels.split(",")]
+    assert not missed
+    assert {t: found[10_000 + i].labels for i, t in enumerate(others)} == others
