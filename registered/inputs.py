@@ -23,7 +23,6 @@ from seekframe.operators.keyword import KeywordIndex, build_keyword_index, open_
 from seekframe.session import path_exists, shared_dir, spread
 
 FAQ_TEXT_FIELDS = ["question", "section", "answer"]
-KMEANS_CELLS = 16
 
 _built: set[str] = set()  # paths whose build this process has seen through
 
@@ -125,7 +124,7 @@ def kmeans_ivf(spark: SparkSession, sf_dir: str) -> IvfIndex:
     path, ready = _place(spark, sf_dir, "kmeans_ivf")
     if ready:
         return open_ivf_index(spark, path)
-    index = build_ivf_index(vectors(spark, sf_dir), path, cells=KMEANS_CELLS)
+    index = build_ivf_index(vectors(spark, sf_dir), path)
     _built.add(path)
     return index
 

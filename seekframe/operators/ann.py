@@ -146,6 +146,34 @@ def ivf_search(
     )
 
 
+def nprobe_for(
+    index: IvfIndex,
+    queries: DataFrame,
+    exact: DataFrame,
+    recall: float,
+    key: tuple[str, ...] = ("doc_id",),
+    metric: str = "cosine",
+) -> int:
+    """The fewest cells to probe so that ``recall`` of the exact hits of ``queries`` are found.
+
+    An exact hit is found once the cell it lies in is probed. ``queries`` is a sample: all cells
+    are ranked for each.
+    """
+    cells = probe_cells(index.centres, queries, index.cells, metric)
+    needed = (
+        exact.select("query_id", *key)
+        .join(index.vectors.select(*key, "cell"), list(key))
+        .join(cells.select("query_id", "cell", F.col("rank").alias("needed")), ["query_id", "cell"])
+    )
+    hits = {r["needed"]: r["count"] for r in needed.groupBy("needed").count().collect()}
+    total, found = sum(hits.values()), 0
+    for nprobe in sorted(hits):
+        found += hits[nprobe]
+        if found >= recall * total:
+            return nprobe
+    return index.cells
+
+
 def probe_cells(
     centres: DataFrame, queries: DataFrame, nprobe: int, metric: str = "cosine"
 ) -> DataFrame:

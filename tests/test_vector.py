@@ -6,6 +6,7 @@ from seekframe.operators.ann import (
     build_ivf_index,
     ivf_search,
     kmeans_centres,
+    nprobe_for,
     open_ivf_index,
 )
 from seekframe.operators.vector import vector_search
@@ -160,3 +161,20 @@ def test_nearest_cell_and_ties(spark):
     )
     cells = {r.doc_id: r.cell for r in assign_cells(stored, centres).collect()}
     assert cells == {1: 0, 2: 1, 3: 0}
+
+
+def test_nprobe_from_measured_recall(rows, frames, ivf):
+    exact = vector_search(frames[0], frames[1], 5)
+    best = {(r.query_id, r.doc_id) for r in exact.collect()}
+
+    def recall(n):
+        return len(best & {(q, d) for q, d, _, _ in as_set(ivf_search(ivf, frames[1], 5, n))}) / len(best)
+
+    chosen = nprobe_for(ivf, frames[1], exact, 0.9)
+    assert recall(chosen) >= 0.9 and (chosen == 1 or recall(chosen - 1) < 0.9)
+
+
+def test_kmeans_query_asks_for_nine_tenths():
+    from registered import queries
+
+    assert queries.IVF_RECALL >= 0.9
