@@ -333,7 +333,7 @@ def near_duplicates(
     sets = stored(_whole_sets(docs, wanted, key, text), "minhash-sets")
     links = stored(_star_links(buckets, sets, percent), "minhash-links")
     labels = stored(components(links), "minhash-labels")
-    more = _tile_links(buckets, labels.withColumnRenamed("node", "node"), sets, percent, tile)
+    more = _tile_links(buckets, labels, sets, percent, tile)
     if more is not None:
         more = stored(more.distinct(), "minhash-more")
         if not more.isEmpty():

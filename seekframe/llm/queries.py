@@ -4,8 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.llm import (
+    collocations,
+    fill_middle,
     html_text,
     licenses,
+    minhash,
     mixing,
     packing,
     paragraphs,
@@ -81,6 +84,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = fill_middle.store_frames(table(spark, sf_dir, "documents"))
+    return fill_middle.with_digests(fill_middle.fill_in_middle(frames)).drop("output")
+
+
 QUERIES = {
     "op1_paragraphs": op1_paragraphs,
     "op2_html_text": op2_html_text,
@@ -92,4 +108,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
+    "op11_minhash": op11_minhash,
+    "op12_collocations": op12_collocations,
+    "op13_fill_middle": op13_fill_middle,
 }
