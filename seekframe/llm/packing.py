@@ -18,7 +18,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -224,19 +223,20 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         sized.where("rest > 0").drop("crcs"), ["grains"], order, F.lit(1), "rank", rows
     )
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sequence = np.full(len(frame), -1, np.int64)
-            ranks, classes = frame["rank"].to_numpy(), frame["grains"].to_numpy()
+    # Keys stay in Arrow: pandas would turn whole numbers with nulls among them to doubles.
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sequence = np.full(batch.num_rows, -1, np.int64)
+            ranks, classes = batch.column("rank").to_numpy(), batch.column("grains").to_numpy()
             for size in np.unique(classes):
                 ends, items, firsts = shares[int(size)]
                 own = np.flatnonzero((classes == size) & (ranks < ends[-1]))
                 share = np.searchsorted(ends, ranks[own], side="right") - 1
                 sequence[own] = firsts[share] + (ranks[own] - ends[share]) // items[share]
-            yield frame.assign(sequence=sequence)
+            yield batch.append_column("sequence", pa.array(sequence))
 
     schema = StructType([*ranked.schema.fields, StructField("sequence", LongType())])
-    placed = stored(ranked.mapInPandas(place, schema), "packed")
+    placed = stored(ranked.mapInArrow(place, schema), "packed")
     inside = Window.partitionBy("sequence").orderBy("grains", "rank")
     pieces = (
         placed.where("sequence >= 0")
@@ -259,26 +259,26 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         placed.where("sequence < 0")
         .select("key", "text_hash", "tokens", "rest", "grains", "rank")
         .orderBy(F.desc("rest"), "grains", "rank")
-        .toPandas()
+        .toArrow()
     )
-    cut = _stretch(over["rest"].tolist(), whole + int(times.sum()))
+    cut = _stretch(over["rest"].to_pylist(), whole + int(times.sum()))
     out = full.unionByName(pieces)
     if cut:
         out = out.unionByName(_cut_pieces(spark, docs, over, cut, key, text))
     return out.withColumnRenamed("key", key)
 
 
-def _cut_pieces(spark, docs, over: pd.DataFrame, cut: list, key: str, text: str) -> DataFrame:
+def _cut_pieces(spark, docs, over: pa.Table, cut: list, key: str, text: str) -> DataFrame:
     """Pieces of the documents left over; their ids are made again to be cut anywhere."""
     kind = docs.schema[key].dataType.simpleString()
     rows = []
-    owners = list(zip(over["key"], over["text_hash"], over["tokens"], over["rest"], strict=True))
+    owners = list(
+        zip(*(over[c].to_pylist() for c in ("key", "text_hash", "tokens", "rest")), strict=True)
+    )
     for item, start, length, sequence, offset in cut:
         own, text_hash, tokens, rest = owners[item]
-        own = None if pd.isna(own) else own
-        own = int(own) if kind == "bigint" and own is not None else own
         start = int(tokens - rest + start)
-        rows.append((own, int(text_hash), int(tokens), start, length, int(sequence), offset))
+        rows.append((own, text_hash, tokens, start, length, int(sequence), offset))
     wanted = spark.createDataFrame(
         rows,
         f"own {kind}, own_hash bigint, doc_tokens bigint, start bigint, length bigint,"
@@ -296,19 +296,30 @@ def _cut_pieces(spark, docs, over: pd.DataFrame, cut: list, key: str, text: str)
         source["key"].eqNullSafe(grouped["own"]) & (source["text_hash"] == grouped["own_hash"]),
     )
 
-    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = BpeIds()
-        for frame in frames:
-            for own, tokens, value, pieces in frame.itertuples(index=False):
+        for batch in batches:
+            row, made = [], []
+            texts, cuts = batch.column("text").to_pylist(), batch.column("pieces").to_pylist()
+            for i, (value, pieces) in enumerate(zip(texts, cuts, strict=True)):
                 ids = bpe.ids(value) + END
-                made = pd.DataFrame([p.asDict() if hasattr(p, "asDict") else p for p in pieces])
-                made["ids_crc32"] = [
-                    zlib.crc32(ids[4 * s : 4 * (s + n)])
-                    for s, n in zip(made["start"], made["length"], strict=True)
-                ]
-                yield made.assign(key=own, doc_tokens=tokens)
-
-    found = met.select("key", "doc_tokens", "text", "pieces").mapInPandas(
+                for p in pieces:
+                    low = p["start"]
+                    crc = zlib.crc32(ids[4 * low : 4 * (low + p["length"])])
+                    row.append(i)
+                    made.append((low, p["length"], p["sequence_id"], p["offset"], crc))
+            own = batch.take(pa.array(row, pa.int64()))
+            columns = zip(*made, strict=True) if made else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(c, pa.int64()) for c in columns),
+                    own.column("key"),
+                    own.column("doc_tokens"),
+                ],
+                names=["start", "length", "sequence_id", "offset", "ids_crc32", "key", "doc_tokens"],
+            )
+
+    found = met.select("key", "doc_tokens", "text", "pieces").mapInArrow(
         summed,
         "start bigint, length bigint, sequence_id bigint, offset bigint, ids_crc32 bigint,"
         f" key {kind}, doc_tokens bigint",
