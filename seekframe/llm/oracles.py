@@ -37,10 +37,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR word_chars < 2 * n OR word_chars > 15 * n OR 10 * n_symbols > n
   OR 10 * n_dup_lines > 5 * l
   OR 10 * (length(body) - length(replace(body, '!', ''))) > n
-  OR 10 * length(regexp_replace(body, '\P{{Lu}}', '', 'g')) > 4 * c
-  OR 10 * length(regexp_replace(body, '\P{{L}}', '', 'g')) < 6 * c
-  OR 10 * len(regexp_extract_all(body, '(?m)(\.\.\.|…)\s*$')) > 3 * l
-  OR 10 * len(regexp_extract_all(body, '(?m)^\s*[-*•]')) > 9 * l) AS kept
+  OR 10 * length(regexp_replace(body, '\P{{Lu}}+', '', 'g')) > 4 * c
+  OR 10 * length(regexp_replace(body, '[^\p{{L}}\p{{M}}]+', '', 'g')) < 6 * c
+  OR 10 * len(regexp_extract_all(body, '(?m)(\.\.\.|…)[ \t\x0B\f\r]*$')) > 3 * l
+  OR 10 * len(regexp_extract_all(body, '(?m)^[ \t\x0B\f\r]*[-*•]')) > 9 * l) AS kept
 FROM shares""",
     "op9_licenses": rf"""
 WITH texts AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import SPACES, spaced, text_of, words_of
+from seekframe.llm.common import SPACES, text_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -26,16 +26,25 @@ SAMPLE_ROWS = 400
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _words(body: Column) -> Column:
+    """The words of a text; the white space around it goes first, as a cut would leave a gap."""
+    trimmed = F.btrim(body, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, r"[ \t-\r]+")
+    )
+
+
 def _repeat_words(words: Column) -> Column:
-    """Words that lie in a window of three words found at least twice in the text."""
-    windows = F.when(
-        F.size(words) >= 3,
-        F.transform(
-            F.sequence(F.lit(0), F.size(words) - 3),
-            lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    return windows
+    """Hashes of the windows of three words, from one hash of each word."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    later = F.slice(hashes, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    last = F.slice(hashes, 3, F.greatest(F.size(words) - 2, F.lit(0)))
+    triples = F.arrays_zip(
+        F.slice(hashes, 1, F.size(last)).alias("a"),
+        F.slice(later, 1, F.size(last)).alias("b"),
+        last.alias("c"),
+    )
+    return F.transform(triples, lambda t: F.xxhash64(t["a"], t["b"], t["c"]))
 
 
 def _covered(windows: Column) -> Column:
@@ -62,18 +71,17 @@ def _covered(windows: Column) -> Column:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (all bigint)."""
     body = text_of(text)
-    base = docs.drop(*_COUNTS).withColumn("_words", words_of(body))
-    lines = F.filter(F.split(body, "\n"), lambda line: spaced(line) != "")
+    base = docs.drop(*_COUNTS).withColumn("_words", _words(body))
+    lines = F.filter(F.split(body, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     base = base.withColumn("_lines", lines).withColumn("_windows", _repeat_words(F.col("_words")))
-    size = F.length(body)
     # Most texts repeat no window; the branch that sorts is then not evaluated.
     repeated = F.when(
         F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0)
     ).otherwise(_covered(F.col("_windows")))
     counts = {
         "n_words": F.size("_words"),
-        "word_chars": F.length(F.translate(body, SPACES, "")),
-        "n_symbols": size - F.length(F.translate(body, SYMBOLS, "")),
+        "word_chars": F.length(F.array_join("_words", "")),
+        "n_symbols": F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": repeated,
     }
@@ -99,11 +107,12 @@ def default_rules(text: str = "text") -> dict[str, Column]:
     n_chars = F.greatest(F.col("word_chars"), F.lit(1))
     mean = F.col("word_chars") / n_words
     lines = F.greatest(F.size(F.split(body, "\n")), F.lit(1))
-    shouts = F.length(body) - F.length(F.translate(body, "!", ""))
-    upper = F.length(F.regexp_replace(body, r"\P{Lu}", ""))
-    letters = F.length(F.regexp_replace(body, r"\P{L}", ""))
-    dots = F.regexp_count(body, F.lit(r"(?m)(\.\.\.|…)\s*$"))
-    bullets = F.regexp_count(body, F.lit(r"(?m)^\s*[-*•]"))
+    shouts = F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit("")))
+    # Patterns that take whole runs and stay inside a line cost no more than the text's length.
+    upper = F.length(F.regexp_replace(body, r"\P{Lu}+", ""))
+    letters = F.length(F.regexp_replace(body, r"[^\p{L}\p{M}]+", ""))
+    dots = F.regexp_count(body, F.lit(r"(?dm)(\.\.\.|…)[ \t\x0B\f\r]*$"))
+    bullets = F.regexp_count(body, F.lit(r"(?dm)^[ \t\x0B\f\r]*[-*•]"))
     return {
         "word_length": (mean < 2) | (mean > 15),
         "symbols": F.col("n_symbols") > 0.1 * n_words,
