@@ -117,3 +117,92 @@ def url_parts(url):
 
 def crc(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def shingle_groups(rows, size=4, percent=80):
+    """{id: (size of its set of shingles, smallest id reachable over links of near sets)}"""
+    sets = {}
+    for key, text in rows:
+        words = WORD.findall((text or "").translate(LOWER))
+        if len(words) >= size:
+            sets[key] = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+        else:
+            sets[key] = {tuple(words)} if words else set()
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(k for k in sets if sets[k])
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            common = len(sets[a] & sets[b])
+            if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {k: (len(v), find(k)) for k, v in sets.items()}
+
+
+def ngrams(rows, longest=5):
+    """({(lang, phrase): count}, {lang: number of words}) of (text, lang) rows"""
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for m in range(1, longest + 1):
+                for i in range(len(words) - m + 1):
+                    counts[lang, " ".join(words[i : i + m])] += 1
+    return counts, totals
+
+
+def collocations(rows, min_count=100, top=2000):
+    """Rows (lang, rank, phrase, a, l, r, n, score) in the order of lang and rank"""
+    counts, totals = ngrams(rows)
+    found = {}
+    for (lang, phrase), a in counts.items():
+        words = phrase.split(" ")
+        if a >= min_count and len(words) > 1:
+            cuts = []
+            for k in range(1, len(words)):
+                left = counts[lang, " ".join(words[:k])]
+                right = counts[lang, " ".join(words[k:])]
+                cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+            found[lang, phrase] = (a, *min(cuts)[2:], totals[lang], min(cuts)[0])
+    covered = set()
+    for (lang, phrase), row in found.items():
+        words = phrase.split(" ")
+        for m in range(2, len(words)):
+            for i in range(len(words) - m + 1):
+                inner = lang, " ".join(words[i : i + m])
+                if row[0] >= found[inner][0]:
+                    covered.add(inner)
+    out = []
+    for lang in sorted(totals):
+        own = [(p, *row) for (name, p), row in found.items() if name == lang]
+        own = [row for row in own if (lang, row[0]) not in covered]
+        own.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, i, *row) for i, row in enumerate(own[:top], 1)]
+    return out
+
+
+def fill_middle(key, text, fim_percent=50, spm_percent=80):
+    """(n, form, prefix_chars, middle_chars, digest of the output, digest of the text)"""
+    text = text or ""
+    tokens = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    n = len(tokens)
+    digest = hashlib.sha256(f"42:{key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[i : i + 8], 16) for i in range(0, 32, 8))
+    own = hashlib.sha256(text.encode()).hexdigest()
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= fim_percent:
+        return n, "plain", None, None, own, own
+    low, high = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = ("".join(t) for t in (tokens[:low], tokens[low:high], tokens[high:]))
+    if h4 % 100 < spm_percent:
+        form, out = "spm", f"<S>{suffix}<P>{prefix}<M>{middle}"
+    else:
+        form, out = "psm", f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return n, form, len(prefix), len(middle), hashlib.sha256(out.encode()).hexdigest(), own

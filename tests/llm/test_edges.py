@@ -1,5 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import re
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +11,12 @@ import public_tokenizers
 
 import corpus_pipeline
 from seekframe.llm import (
+    collocations,
     components,
+    fill_middle,
     html_text,
     licenses,
+    minhash,
     mixing,
     packing,
     paragraphs,
@@ -395,3 +401,147 @@ def test_licenses_with_one_word_edited_anywhere(spark):
     missed = [rows[i][1] for i, label in enumerate(wanted) if label not in found[i].labels.split(",")]
     assert not missed
     assert {t: found[10_000 + i].labels for i, t in enumerate(others)} == others
+
+
+def test_packing_with_null_and_large_ids(spark):
+    """Ids beyond the whole numbers of a double survive beside a null one."""
+    texts = {(1 << 60) + i: f"text number {i} " * (3 + i * 7 % 400) for i in range(120)}
+    texts[None] = "a row without an id " * 40
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = packing.pack(docs).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    check_packing(rows, lambda k: tokenizer.encode(texts[k], add_special_tokens=False).ids + [1])
+
+
+def test_quality_rules_of_blank_lines_take_linear_time(spark):
+    text = "\n" * 400_000 + "some words that are here " * 20
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    rules = quality_rules.default_rules()
+    counted = quality_rules.with_counts(docs)
+    began = time.perf_counter()
+    counted.select(rules["bullets"].alias("b"), rules["ellipses"].alias("e")).collect()
+    assert time.perf_counter() - began < 10
+
+
+def test_minhash_of_awkward_rows(spark, awkward, nothing):
+    rows = minhash.near_duplicates(awkward).collect()
+    assert len(rows) == len(AWKWARD)
+    wanted = brute.shingle_groups(TEXTS.items())
+    for r in rows:
+        assert (r.n_shingles, r.component_id) == wanted[r.doc_id]
+        assert r.kept == (r.component_id == r.doc_id)
+    assert minhash.near_duplicates(nothing).collect() == []
+
+
+def test_minhash_with_null_ids(spark):
+    same = "one two three four five six seven"
+    rows = [(None, same), (4, same), (None, "a text of its own here"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(
+        ((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()),
+        key=str,
+    )
+    assert found == sorted(
+        [(4, 4, True), (None, 4, False), (None, None, True), (None, None, True)], key=str
+    )
+
+
+@pytest.mark.parametrize("tile", [3, 1024])
+def test_minhash_links_that_stars_leave_open(spark, tile):
+    """Chains of edits around one passage, in tiles of few sets, against all pairs."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in rng.integers(0, 500, 60)]
+    texts, words = {}, list(base)
+    for i in range(120):
+        if i % 30 == 0:
+            words = list(base) if i % 60 else [f"v{j}" for j in rng.integers(0, 500, 60)]
+        words[int(rng.integers(len(words)))] = f"x{i}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, tile=tile).collect()}
+    wanted = brute.shingle_groups(texts.items())
+    assert found == {k: v[1] for k, v in wanted.items()}
+
+
+def test_sketches_fill_and_estimate_similarity():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 40, 3000):
+        shared = rng.integers(0, 1 << 63, 4 * size).astype(np.uint64)
+        a = np.concatenate([shared, rng.integers(0, 1 << 63, size).astype(np.uint64)])
+        one, two = minhash.sketch(a), minhash.sketch(shared)
+        assert (one != np.uint64(0xFFFFFFFFFFFFFFFF)).all()
+        assert abs((one == two).mean() - 0.8) < 0.15
+
+
+def test_forest_links_all_near_sets():
+    sets = [np.arange(0, 100), np.arange(5, 105), np.arange(10, 110), np.arange(500, 600)]
+    links = minhash.forest([0, 3], [0, 1, 2, 3], [sets[0], sets[3]], sets, 80)
+    assert sorted(map(sorted, links)) == [[0, 1], [0, 2]]
+
+
+def test_collocations_of_awkward_rows(spark, awkward, nothing):
+    found = collocations.collocations(awkward, min_count=3, top=50).collect()
+    wanted = brute.collocations([(r[1], r[2]) for r in AWKWARD], 3, 50)
+    assert [tuple(r) for r in sorted(found, key=lambda r: (r.lang, r.rank))] == wanted
+    assert collocations.collocations(nothing).collect() == []
+
+
+def test_survivors_hold_every_frequent_ngram(spark):
+    """Summaries far too small for their mass still lose no n-gram at the threshold."""
+    rng = np.random.default_rng(7)
+    rows = [(" ".join(f"w{i}" for i in rng.zipf(1.4, 300) % 900), "en") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    kept = collocations.surviving_ngrams(docs, 20, capacity=8)
+    counts = collocations.ngram_counts(docs, kept).where("f >= 20 AND size > 0")
+    found = {(r.lang, r.phrase): r.f for r in counts.collect()}
+    every = brute.ngrams(rows)[0]
+    assert found == {k: n for k, n in every.items() if n >= 20}
+
+
+def test_a_summary_takes_less_than_its_threshold():
+    rng = np.random.default_rng(9)
+    summary, exact = collocations.Summary(50, 30), {}
+    for _ in range(200):
+        keys, counts = np.unique(rng.zipf(1.3, 400) % 5000, return_counts=True)
+        for k, n in zip(keys.tolist(), counts.tolist(), strict=True):
+            exact[k] = exact.get(k, 0) + n
+        summary.merge(keys.astype(np.uint64), counts)
+    kept = set(summary.survivors().tolist())
+    assert summary.taken < 30
+    assert {k for k, n in exact.items() if n >= 30} <= kept
+
+
+@pytest.mark.parametrize("frame", [7, 64, fill_middle.FRAME])
+def test_fill_middle_of_awkward_rows(spark, awkward, frame):
+    """Frames of a few bytes cut words, white space and characters everywhere."""
+    short = awkward.where(F.coalesce(F.length("text"), F.lit(0)) < (1 << 30 if frame > 64 else 999))
+    frames = fill_middle.store_frames(short, frame=frame)
+    made = fill_middle.with_digests(fill_middle.fill_in_middle(frames, fim_percent=100))
+    rows = made.drop("output").collect()
+    assert len(rows) == short.count()
+    assert {r.form for r in rows} == {"plain", "spm", "psm"} or frame <= 64
+    for r in rows:
+        wanted = brute.fill_middle(r.doc_id, TEXTS[r.doc_id], fim_percent=100)
+        assert tuple(r)[1:] == wanted
+
+
+def test_fill_middle_of_an_empty_table(spark, nothing):
+    made = fill_middle.fill_in_middle(fill_middle.store_frames(nothing))
+    assert fill_middle.with_digests(made).collect() == []
+
+
+def test_cut_places_agree_with_plain_tokens():
+    """Every cut of texts of mixed white space, in frames of every small size."""
+    for text in ("a  b\n\tc", "  lead and trail \n", "é日本 \U0001f600x y", " ", "x"):
+        data = text.encode()
+        tokens = re.findall(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", data)
+        for size in range(4, 12):
+            units, chars, frames = fill_middle.compressed(data, size)
+            stored_text = fill_middle.Seekable(units, chars, frames)
+            assert (units, chars) == (len(tokens), len(text))
+            for cut in range(units + 1):
+                place = stored_text.find(cut)
+                held = b"".join(fill_middle.streamed(stored_text.between((0, 0, 0), place)))
+                assert held == b"".join(tokens[:cut])
+                assert place[2] == len(held.decode())

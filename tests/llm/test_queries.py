@@ -191,6 +191,27 @@ def test_op10(spark, texts, tokenizer):
     assert padding < 0.02
 
 
+def test_op11(spark, texts):
+    wanted = brute.shingle_groups(texts.items())
+    rows = run(spark, "op11_minhash")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == wanted
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_op12(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text", "lang").collect()
+    rows = sorted(run(spark, "op12_collocations"), key=lambda r: (r.lang, r.rank))
+    assert [tuple(r) for r in rows] == brute.collocations(docs)
+
+
+def test_op13(spark, texts):
+    rows = run(spark, "op13_fill_middle")
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert tuple(r)[1:] == brute.fill_middle(r.doc_id, texts[r.doc_id])
+        assert r.output_sha256 == r.restored_sha256 or r.form != "plain"
+
+
 def test_pipeline(spark, texts, tokenizer):
     """Every stage against brute force on its own input."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
