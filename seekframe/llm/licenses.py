@@ -1,18 +1,18 @@
 """License scan by diagonal voting.
 
-All rolling word k-grams of the texts are joined, by hash and then by wording, to the
-k-grams of the license templates. A match at word p of a text and word q of a template
+Every text is cut once. All rolling word k-grams of the texts are joined, by a 64-bit hash, to
+the k-grams of the license templates. A match at word p of a text and word q of a template
 votes for the diagonal p - q: an unbroken quotation puts all its votes on one diagonal, an
-insertion or omission moves the rest to a neighbouring one. Votes are summed per diagonal,
-neighbouring diagonals are merged into spans, and a span is verified by the share of the
-template that its exact matches cover and by its length.
+insertion or omission moves the rest to a neighbouring one. Votes are summed per diagonal and
+neighbouring diagonals are merged into spans.
 
-An edited word breaks up to three k-grams, half of a short notice. Spans are therefore also
-verified by their words: the template is aligned with the text around its merged diagonals,
-and its share of aligned words, less for inserted ones, is the cover. Notices differ by one
-word, as lgpl and gpl do, so of templates aligned with the same place only the best remain:
-most matched words less edits, then most matched words; further wordings and other licenses
-take part in that. ``MIN_COVER`` of the words always leaves an unbroken k-gram.
+Spans are verified in their texts. A span stands if its exact matches cover ``MIN_COVER`` of
+the template, or if that share of the template's words can be aligned with the text around
+its diagonals: an edited word breaks up to three k-grams, half of a short notice. Notices
+differ by one word, as lgpl and gpl do, so of the templates that stand at one place only the
+best remain: most aligned words less edits, then most aligned words. Further wordings and other
+licenses take part in that, so that another version of a license is not taken for its own.
+``MIN_COVER`` of the words always leaves an unbroken k-gram.
 
 Templates marked exact are phrases whose words must stand consecutively: each diagonal with
 all the votes is one place, and diagonals are not merged.
@@ -22,23 +22,29 @@ once and returned as often as they came; a null id is an id like any other. Only
 text columns are used, so further columns cannot clash.
 """
 
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import text_of
+from seekframe.llm.common import stored, text_of
+from seekframe.llm.ngrams import LOWER, blocks, joined, mixed, salts, words
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 3
 GAP = 4
 MIN_COVER = 0.8
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NONE = -1  # template of the row that stands for the text itself
+_TEXT = 0  # its hash
+_OUTSIDE = np.array([not re.match(rb"[0-9a-z\x80-\xff]", bytes([c])) for c in range(256)])
+_RUN = re.compile(rb"[0-9a-z\x80-\xff]+")  # words of lower-cased bytes
+_PLACES = salts(GRAM, 9) | np.uint64(1)
 
 
 @dataclass(frozen=True)
@@ -83,14 +89,26 @@ NOTICES = (
 )
 
 
+_LONG_GPL = (
+    "redistribute it and or modify it under the terms of the gnu {} general public license as"
+    " published by the free software foundation"
+)
+
 #: Other wordings of notices.
-VARIANTS = (Template("gpl-3", "licensed under the gnu general public license v3"),)
+VARIANTS = (
+    Template("gpl-3", "licensed under the gnu general public license v3"),
+    Template("lgpl", _LONG_GPL.format("lesser")),
+    Template("lgpl", _LONG_GPL.format("library")),
+)
 
 #: Other licenses whose wording is near a notice; they only keep it from being named.
 RIVALS = (
     Template("gpl-any", "licensed under the gnu general public license"),
+    Template("gpl-1", "licensed under the gnu general public license version 1"),
+    Template("gpl-1", "licensed under the gnu general public license v1"),
     Template("gpl-2", "licensed under the gnu general public license version 2"),
     Template("gpl-2", "licensed under the gnu general public license v2"),
+    Template("agpl-3", _LONG_GPL.format("affero")),
     Template("agpl-3", "licensed under the gnu affero general public license version 3"),
     Template("agpl-3", "licensed under the gnu affero general public license v3"),
     Template("agpl-3", "licensed under the gnu affero general public license"),
@@ -112,41 +130,66 @@ RIVALS = (
 )
 
 
-def license_words(text: Column) -> Column:
-    """Lower-case words: runs of digits, letters a to z and characters beyond ASCII."""
-    lowered = F.translate(text, _UPPER, _UPPER.lower())
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+def gram_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """Per text the number of its words and the hashes of its k-grams, by first word."""
+    for first, last in blocks(texts):
+        data, begins = joined(texts[first:last])
+        starts, _, (hashed,) = words(data, _OUTSIDE)
+        bounds = np.searchsorted(starts, np.append(begins, len(data))).tolist()
+        grams = np.zeros(max(len(hashed) - GRAM + 1, 0), np.uint64)
+        for i in range(GRAM):
+            grams += hashed[i : i + len(grams)] * _PLACES[i]
+        grams = mixed(grams).view(np.int64)
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            yield high - low, grams[low : max(low, high - GRAM + 1)]
 
 
-def _cut(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
     source = docs.select(F.col(key).alias("key"), text_of(text).alias("body"))
-    return source.select(
-        "key", F.xxhash64("body").alias("text_hash"), license_words(F.col("body")).alias("words")
-    )
+    return source.select("key", F.xxhash64("body").alias("text_hash"), "body")
+
+
+def text_grams(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, text_hash, n_words, grams) per row; the last gram stands for the text itself."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, grams = [], []
+            for size, hashes in gram_hashes(batch.column(2).cast(pa.binary()).to_pylist()):
+                sizes.append(size)
+                grams.append(np.append(hashes, _TEXT))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(grams, pa.list_(pa.int64())),
+                ],
+                names=["key", "text_hash", "n_words", "grams"],
+            )
 
-def _grams(words: Column) -> Column:
-    n = F.size(words)
-    at = F.when(n >= GRAM, F.sequence(F.lit(0), n - GRAM)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(GRAM)]))
+    kind = docs.schema[key].dataType.simpleString()
+    return _source(docs, key, text).mapInArrow(
+        cut, f"key {kind}, text_hash bigint, n_words int, grams array<bigint>"
+    )
 
 
 def _template_grams(spark, templates: Sequence[Template]) -> DataFrame:
-    """One row per k-gram of a template, and one with an empty gram for the text itself."""
-    rows = [("", _NONE, 0, 0, "", False)]
+    """One row per k-gram of a template, and one for the text itself."""
+    rows = [(_TEXT, _NONE, 0, 0, "", False)]
     for number, template in enumerate(templates):
-        words = template.text.split(" ")
-        if len(words) < GRAM:
+        ((size, hashes),) = gram_hashes([template.text.encode()])
+        if size < GRAM:
             raise ValueError(f"template of fewer than {GRAM} words: {template.text!r}")
         rows += [
-            (" ".join(words[i : i + GRAM]), number, i, len(words), template.label, template.exact)
-            for i in range(len(words) - GRAM + 1)
+            (h, number, i, size, template.label, template.exact)
+            for i, h in enumerate(hashes.tolist())
         ]
-    schema = "t_gram string, template int, t_pos int, t_words int, label string, exact boolean"
-    return spark.createDataFrame(rows, schema).withColumn("h", F.xxhash64("t_gram"))
+    schema = "h bigint, template int, t_pos int, t_words int, label string, exact boolean"
+    return spark.createDataFrame(rows, schema)
 
 
-def align(template: list[str], window: list[str]) -> tuple[int, int, int, int]:
+def align(template: list[bytes], window: list[bytes]) -> tuple[int, int, int, int]:
     """(matched words less edits, matched words, first, end) of the best place in ``window``."""
     above = [(0, 0, i) for i in range(len(window) + 1)]
     for word in template:
@@ -162,85 +205,88 @@ def align(template: list[str], window: list[str]) -> tuple[int, int, int, int]:
     return (*above[end], end)
 
 
-class NearCopies:
-    """Labels of the notices that a text holds with few words edited."""
-
-    def __init__(self, templates: Sequence[Template], min_cover: float) -> None:
-        self.named = {t.label for t in templates if not t.exact}
-        own = [t for t in templates if not t.exact]
-        others = [*VARIANTS, *RIVALS]
-        self.silent = {len(own) + i for i, t in enumerate(others) if t not in VARIANTS}
-        self.templates = [(t.label, t.text.split(" ")) for t in (*own, *others)]
-        self.min_cover = min_cover
-        self.places: dict[str, list[tuple[int, int]]] = {}
-        for number, (_, words) in enumerate(self.templates):
-            for i in range(len(words) - GRAM + 1):
-                self.places.setdefault(" ".join(words[i : i + GRAM]), []).append((number, i))
-
-    def find(self, words: list[str]) -> list[tuple[str, int, int, float]]:
-        """(label, first word, last word, cover) of each place, best templates only."""
-        diagonals: dict[int, set[int]] = {}
-        for p in range(len(words) - GRAM + 1):
-            for number, q in self.places.get(" ".join(words[p : p + GRAM]), ()):
-                diagonals.setdefault(number, set()).add(p - q)
-        found = []
-        for number, votes in diagonals.items():
-            label, template = self.templates[number]
-            ordered, start = sorted(votes), 0
-            for i in range(1, len(ordered) + 1):
-                if i < len(ordered) and ordered[i] - ordered[i - 1] <= GAP:
-                    continue
-                low = max(0, ordered[start] - GAP)
-                window = words[low : ordered[i - 1] + len(template) + GAP]
-                start = i
-                common = Counter(template) & Counter(window)
-                if common.total() < self.min_cover * len(template):
-                    continue
-                score, matched, first, end = align(template, window)
-                cover = matched / max(len(template), end - first)
-                if cover >= self.min_cover:
-                    found.append((score, matched, low + first, low + end, cover, label, number))
-        return [
-            (label, first, end - 1, cover)
-            for score, matched, first, end, cover, label, number in found
-            if number not in self.silent
-            and label in self.named
-            and not any(
-                (o[0], o[1]) > (score, matched) and o[2] < end and first < o[3] and o[5] != label
-                for o in found
-            )
-        ]
+def best_places(
+    text: bytes, asks: list[dict], templates: Sequence[Template], known: int, min_cover: float
+) -> list[tuple[str, float, bool]]:
+    """(label, cover, verified) of the spans that no better template beats.
 
+    ``asks`` are the spans of ``text``, whose A-Z are in lower case. Templates from number
+    ``known`` on only compete.
+    """
+    cut = _RUN.findall(text)
+    spans = []
+    for ask in asks:
+        template = templates[ask["template"]].text.encode().split(b" ")
+        low = max(0, ask["low"] - GAP)
+        window = cut[low : ask["high"] + len(template) + GAP]
+        cover, place = ask["cover"], None
+        shared = (Counter(template) & Counter(window)).total()
+        if max(cover, shared / len(template)) >= min_cover:
+            score, matched, first, end = align(template, window)
+            cover = max(cover, matched / max(len(template), end - first))
+            if cover >= min_cover:
+                place = (score, matched, low + first, low + end)
+        spans.append((templates[ask["template"]].label, cover, place, ask["template"] < known))
+    standing = [(label, place) for label, _, place, _ in spans if place]
+
+    def beaten(label: str, place: tuple | None) -> bool:
+        if place is None:
+            return False
+        # The label counts by the best of its own templates there.
+        here = [(o[:2], name) for name, o in standing if o[2] < place[3] and place[2] < o[3]]
+        best = max(rank for rank, name in here if name == label)
+        return any(rank > best for rank, name in here if name != label)
+
+    return [
+        (label, cover, place is not None)
+        for label, cover, place, own in spans
+        if own and not beaten(label, place)
+    ]
+
+
+def verified_spans(
+    docs: DataFrame,
+    spans: DataFrame,
+    templates: Sequence[Template],
+    known: int,
+    min_cover: float,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """(key, text_hash, label, cover, verified) of the merged ``spans``, by ``best_places``.
 
-def near_copies(cut: DataFrame, templates: Sequence[Template], min_cover: float) -> DataFrame:
-    """Spans of ``cut`` (key, text_hash, words) that are verified by their words.
-
-    Only texts with a k-gram of a template leave the JVM.
+    Texts without a k-gram of a template do not get here. Rows that repeat give equal rows.
     """
-    finder = NearCopies(templates, min_cover)
-    kind = cut.schema["key"].dataType.simpleString()
-    known = list(finder.places)
+    asked = (
+        spans.groupBy(F.col("key").alias("own"), F.col("text_hash").alias("h"))
+        .agg(F.collect_list(F.struct("template", "low", "high", "cover")).alias("asks"))
+        .hint("merge")
+    )
+    source = _source(docs, key, text)
+    met = source.join(
+        asked, (source["text_hash"] == asked["h"]) & source["key"].eqNullSafe(asked["own"])
+    ).select("key", "text_hash", "body", "asks")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, at = [], []
-            for number, words in enumerate(batch.column(2).to_pylist()):
-                for place in finder.find(words or []):
-                    rows.append((len(words), *place))
-                    at.append(number)
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64())
+            found, at = [], []
+            texts = batch.column(2).cast(pa.binary())
+            for i, asks in enumerate(batch.column(3).to_pylist()):
+                body = texts[i].as_py().translate(LOWER)
+                places = best_places(body, asks, templates, known, min_cover)
+                found += places
+                at += [i] * len(places)
+            columns = list(zip(*found, strict=True)) or [()] * 3
+            kinds = (pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).take(pa.array(at, pa.int64())) for i in (0, 1)]
                 + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["key", "text_hash", "n_words", "label", "first", "last", "cover"],
+                names=["key", "text_hash", "label", "cover", "verified"],
             )
 
-    # Not a filter, which would be pushed down and cut the text anew for every k-gram.
-    seeded = F.exists(_grams(F.col("words")), lambda g: g.isin(known))
-    return cut.select("key", "text_hash", F.when(seeded, F.col("words")).alias("words")).mapInArrow(
-        look,
-        f"key {kind}, text_hash bigint, n_words int, label string, first int, last int, cover double",
+    kind = docs.schema[key].dataType.simpleString()
+    return met.mapInArrow(
+        look, f"key {kind}, text_hash bigint, label string, cover double, verified boolean"
     )
 
 
@@ -250,26 +296,16 @@ def license_spans(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(key, text_hash, n_words, copies, template, label, exact, first, last, cover) per span.
+    """(key, text_hash, n_words, copies, template, label, exact, first, last, low, high, cover).
 
-    Each text also has one row with template -1. The template table is given by the caller
-    as a list and broadcast; its size does not depend on the documents.
+    One row per span, low and high being its diagonals; each text also has one row with
+    template -1. The template table is given by the caller as a list and broadcast; its size
+    does not depend on the documents.
     """
-    cut = _cut(docs, key, text)
-    grams = cut.select(
-        "key", "text_hash", F.size("words").alias("n_words"), _grams(F.col("words")).alias("grams")
-    )
-    placed = grams.select(
-        "key",
-        "text_hash",
-        "n_words",
-        F.posexplode(F.concat(F.col("grams"), F.array(F.lit("")))).alias("pos", "gram"),
-    ).withColumn("h", F.xxhash64("gram"))
-    known = _template_grams(docs.sparkSession, templates)
-    hits = placed.join(
-        F.broadcast(known),
-        (placed["h"] == known["h"]) & (placed["gram"] == known["t_gram"]),
+    placed = text_grams(docs, key, text).select(
+        "key", "text_hash", "n_words", F.posexplode("grams").alias("pos", "h")
     )
+    hits = placed.join(F.broadcast(_template_grams(docs.sparkSession, templates)), "h")
     text_key = ["key", "text_hash", "n_words"]
     votes = (
         hits.withColumn(
@@ -296,6 +332,8 @@ def license_spans(
             F.sum("votes").alias("votes"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
+            F.min("diagonal").alias("low"),
+            F.max("diagonal").alias("high"),
         )
     )
     share = F.col("votes") / (F.col("t_words") - (GRAM - 1))
@@ -319,34 +357,38 @@ def scan_licenses(
     """Per row of ``docs``: the places of exact phrases and the labels of all verified spans.
 
     Columns: key, n_words, n_base, first_word, last_word, base_labels, labels, score; the
-    score is the best cover of any span, by k-grams or verified by words, 1.0 where a phrase
-    stands.
+    score is the best cover of any span that is not beaten, 1.0 where a phrase stands.
     """
-    near = near_copies(_cut(docs, key, text), templates, min_cover).select(
-        "*", F.lit(len(templates)).alias("template"), F.lit(False).alias("exact")
-    )
-    spans = license_spans(docs, templates, key, text).unionByName(near, allowMissingColumns=True)
-    place = F.col("exact") & (F.col("template") != _NONE) & (F.col("cover") >= 1.0)
-    verified = (F.col("template") != _NONE) & (
-        place | (~F.col("exact") & (F.col("cover") >= min_cover))
+    every = [*templates, *VARIANTS, *RIVALS]
+    known = len(templates) + len(VARIANTS)
+    spans = stored(license_spans(docs, every, key, text), "license-spans")
+    near = spans.where((F.col("template") != _NONE) & ~F.col("exact"))
+    labelled = verified_spans(docs, near, every, known, min_cover, key, text)
+    named = {t.label for t in templates if not t.exact}
+    labelled = labelled.where(F.col("label").isin(sorted(named))).withColumn("exact", F.lit(False))
+    phrases = spans.where(F.col("exact") | (F.col("template") == _NONE)).withColumn(
+        "verified", F.col("exact") & (F.col("cover") >= 1.0)
     )
+    rows = phrases.unionByName(labelled, allowMissingColumns=True)
+    place = F.col("exact") & F.col("verified")
 
-    def joined(condition: Column) -> Column:
+    def listed(condition: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
 
-    scanned = spans.groupBy("key", "text_hash", "n_words").agg(
+    scanned = rows.groupBy("key", "text_hash").agg(
+        F.max("n_words").cast("bigint").alias("n_words"),
         F.max("copies").alias("copies"),
         F.count(F.when(place, 1)).alias("n_base"),
         F.min(F.when(place, F.col("first"))).cast("bigint").alias("first_word"),
         F.max(F.when(place, F.col("first"))).cast("bigint").alias("last_word"),
-        joined(place).alias("base_labels"),
-        joined(verified).alias("labels"),
+        listed(place).alias("base_labels"),
+        listed(F.col("verified")).alias("labels"),
         F.max(F.when(F.col("exact") & ~place, 0.0).otherwise(F.col("cover"))).alias("score"),
     )
     again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return scanned.withColumn("copy", again).select(
         F.col("key").alias(key),
-        F.col("n_words").cast("bigint").alias("n_words"),
+        "n_words",
         "n_base",
         "first_word",
         "last_word",

@@ -395,6 +395,19 @@ def test_licenses_with_one_word_edited_anywhere(spark):
         "licensed under a creative commons attribution noncommercial 4 0 international license": "",
         "licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa",
     }
+    long = (
+        "you can redistribute it and/or modify it under the terms of the GNU {}General Public"
+        " License as published by the Free Software Foundation."
+    )
+    others |= {f"Licensed under the GNU General Public License version {n}": "" for n in (1, 2)}
+    others |= {f"Licensed under the GNU General Public License v{n}." : "" for n in (1, 2)}
+    others["subject to the terms of the Mozilla Public License, v. 1.1."] = ""
+    others |= {
+        long.format(""): "gpl",
+        long.format("Affero "): "",
+        long.format("Lesser "): "lgpl",
+        long.format("Library "): "lgpl",
+    }
     rows += [(10_000 + i, t) for i, t in enumerate(others)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
