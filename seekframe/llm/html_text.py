@@ -11,15 +11,19 @@ long it is: a token is covered exactly if a full suffix array has it in a common
 ``DEPTH`` tokens of two pages. A block that is covered for the most part is boilerplate; the
 others are kept whole.
 
-Blocks inside an article meet the repeats as well. Documents do share passages, so a repeat
-alone is not enough there: a block goes if most of it is covered by what the host repeats
-outside its articles and has inside two distinct articles or more (a teaser repeats one), or
-if the block as a whole is in at least half of the host's distinct articles, ``LEAST`` at
-least.
+Blocks inside an article meet the repeats as well, but documents share passages and sidebars
+quote them, so a repeat alone means nothing there. A block goes only if most of it is covered
+by names that at least half of the host's pages have outside their articles and at least half
+of its distinct articles inside, ``LEAST`` at least.
+
+Class names count by their last word that says what the part is ("related-posts", but not
+"related-work"), and not where they tell a state ("has-sidebar", "comments-open"). A main part
+inside an element that is chrome by its name only is a main part.
 
 Suffix names are counted per host by Spark with partial sums, so a host that holds most pages
-is no single task's work. Articles are compared with the repeated names where they are read,
-in slices of ``SLICE`` names; only pages with something to remove meet the counts again.
+is no single task's work. Names inside articles are joined with the repeated ones; a bit table
+of bounded size keeps most names that do not repeat out of that join. Only pages with
+something to remove meet the counts again.
 
 Defined results: a null html counts as empty and has empty text. Pages of equal html are one
 page to the search for repeats, so copies do not erase each other. Repeated rows and null
@@ -30,6 +34,7 @@ the id, url and html columns are used.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -38,12 +43,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.llm.collocations import bit_table
 from seekframe.llm.common import stored
 
 DEPTH = 6
 MIN_COVER = 0.5
 LEAST = 3
-SLICE = 1 << 21  # names that a task compares at once
 
 _TAG = re.compile(
     r"""<(?:(/?)([a-zA-Z][\w:-]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+|[^>]*+)|[!?/][^>]*+)>"""
@@ -71,6 +76,17 @@ _CHROME_NAMES = set(
     " pagination pager footer comment comments disqus respond reply replies share sharing"
     " social related recommended widget toolbar login signup search".split()
 )
+#: First and last words of names that tell a state of the page.
+_STATE_FIRST = {"has", "no", "not", "with", "without", "is", "hide", "show"}
+_STATE_LAST = {"open", "closed", "enabled", "disabled", "on", "off", "visible", "collapsed"}
+#: Last words that leave open what the part is.
+_VAGUE = set(
+    "left right top bottom primary secondary first last wrapper wrap container holder box block"
+    " area section region row col column inner outer bar panel pane group set list items item"
+    " links link buttons button icons icon form posts post articles article stories entries"
+    " content body text title heading header message slot unit widgets zone global site desktop"
+    " mobile sticky fixed".split()
+)
 _COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
 _CHROME_ROLES = set(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar"
@@ -79,7 +95,8 @@ _CHROME_ROLES = set(
 _CONTENT_NAMES = {"content", "article", "post", "entry", "story"}
 _NOT_CHROME = {"html", "body", "main"}
 
-CHROME, OPEN, CONTENT, MAIN, ARTICLE = range(5)
+#: Chrome by name alone, chrome by its element or role, no part, parts.
+NAMED, CHROME, OPEN, CONTENT, MAIN, ARTICLE = range(-1, 5)
 
 
 @dataclass
@@ -111,6 +128,17 @@ class Page:
         return [t for t, z in zip(self.texts, self.zones, strict=True) if z == part]
 
 
+@lru_cache(maxsize=65_536)
+def _subject(name: str) -> str:
+    """The last word of a class name that says what the part is; empty for a state."""
+    found = [w.lower() for w in _NAME.findall(name)]
+    if not found or found[0] in _STATE_FIRST or found[-1] in _STATE_LAST:
+        return ""
+    while len(found) > 1 and found[-1] in _VAGUE:
+        found.pop()
+    return found[-1]
+
+
 def _zone(tag: str, attributes: str, around: int) -> int:
     """Zone inside an element, given the zone around it."""
     if around == CHROME:
@@ -119,27 +147,34 @@ def _zone(tag: str, attributes: str, around: int) -> int:
     if attributes and not attributes.isspace():
         for name, value in _ATTRIBUTE.findall(attributes):
             values.setdefault(name.lower(), value.strip("\"'"))
-    names = set()
-    if "class" in values or "id" in values:
-        named = f"{values.get('class', '')} {values.get('id', '')}"
-        names = {n.lower() for n in _NAME.findall(named)}
-    if tag in _CHROME or (tag == "header" and around < CONTENT):
+    named = f"{values.get('class', '')} {values.get('id', '')}".split()
+    if tag in _CHROME or (tag == "header" and OPEN <= around < CONTENT):
         return CHROME
     if "hidden" in values or values.get("aria-hidden") == "true":
         return CHROME
     if "display:none" in values.get("style", "").replace(" ", "").lower():
         return CHROME
-    if tag == "article":
-        return CHROME if names & _COMMENT_NAMES else ARTICLE
     role = values.get("role", "").lower()
-    if tag not in _NOT_CHROME and (names & _CHROME_NAMES or role in _CHROME_ROLES):
-        return CHROME
-    if values.get("itemprop", "").lower() == "articlebody" or role == "article":
+    body = values.get("itemprop", "").lower() == "articlebody"
+    if around == NAMED:
+        if tag != "main" and role != "main" and not body:
+            return NAMED
+        around = OPEN
+    subjects = set(map(_subject, named))
+    if tag == "article":
+        return CHROME if subjects & _COMMENT_NAMES else ARTICLE
+    if tag not in _NOT_CHROME:
+        if role in _CHROME_ROLES:
+            return CHROME
+        if subjects & _CHROME_NAMES:
+            return NAMED
+    if body or role == "article":
         return ARTICLE
     if tag == "main" or role == "main":
         return max(around, MAIN)
-    if tag not in _NOT_CHROME and names & _CONTENT_NAMES:
-        return max(around, CONTENT)
+    if tag not in _NOT_CHROME:
+        if any(n.lower() in _CONTENT_NAMES for part in named for n in _NAME.findall(part)):
+            return max(around, CONTENT)
     return around
 
 
@@ -155,7 +190,7 @@ def read_page(html: str | None) -> Page:
         pieces.clear()
         if text:
             page.texts.append(text)
-            page.zones.append(zone)
+            page.zones.append(max(zone, CHROME))
 
     last_tag = html.rfind(">")
     while True:
@@ -251,7 +286,7 @@ def _inside_names(page: Page, host: str) -> np.ndarray:
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        settled, names, hosts, articles, blocks = [], [], [], [], []
+        settled, names, hosts, articles = [], [], [], []
         for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             page, host = read_page(html), _host(url)
             tokens = [t for block in page.outside() for t in block]
@@ -259,8 +294,7 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             settled.append(text is not None)
             names.append(suffix_names(tokens, host).view(np.int64))
             hosts.append(_digest("", host))
-            articles.append(_digest(text or "", host))
-            blocks.append(sorted({_digest(b, host) for b in page.inside()}))
+            articles.append(None if text is None else _digest(text, host))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -268,9 +302,8 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(names, pa.list_(pa.int64())),
                 pa.array(hosts, pa.int64()),
                 pa.array(articles, pa.int64()),
-                pa.array(blocks, pa.list_(pa.int64())),
             ],
-            names=["page", "settled", "names", "host", "article", "blocks"],
+            names=["page", "settled", "names", "host", "article"],
         )
 
 
@@ -295,33 +328,24 @@ def _covered(blocks: list[list[str]], starts: list[int]) -> list[bool]:
     return out
 
 
-def _kept(
-    html: str | None,
-    starts: list[int],
-    host: str = "",
-    covered_inside: list[int] = (),
-    common: list[int] = (),
-) -> str:
-    """Blocks of a page that are not chrome, not covered for the most part and not common."""
+def _kept(html: str | None, starts: list[int], inside: list[int]) -> str:
+    """Blocks of a page that are not chrome and not covered for the most part."""
     page = read_page(html)
     if page.settled() is None:
         covered = _covered(page.outside(), starts)
         zoned = zip(page.texts, page.zones, covered, strict=True)
         return " ".join(text for text, zone, gone in zoned if zone != CHROME and not gone)
-    covered, known = set(covered_inside), set(common)
-    return " ".join(
-        text
-        for number, text in enumerate(page.inside())
-        if number not in covered and (not known or _digest(text, host) not in known)
-    )
+    blocks = page.inside()
+    covered = _covered([b.split() for b in blocks], inside)
+    return " ".join(text for text, gone in zip(blocks, covered, strict=True) if not gone)
 
 
 def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(i).to_pylist() for i in (1, 3, 4, 5, 6))
+        columns = (batch.column(i).to_pylist() for i in (3, 4, 5))
         texts = [
-            _kept(html, starts or [], _host(url), covered or [], common or [])
-            for url, html, starts, covered, common in zip(*columns, strict=True)
+            _kept(html, starts or [], inside or [])
+            for html, starts, inside in zip(*columns, strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(texts, pa.string())], names=["key", "url", "page", "text"]
@@ -329,69 +353,36 @@ def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeats_inside(source: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Where articles have names that repeat outside of them, a row per block that one is in:
-    (page, article, name, block, size, low, high), tokens ``low`` to ``high`` of ``size``."""
-    spark = source.sparkSession
-    slices = max(1, -(-repeated.count() // SLICE))
-    found = None
-    for number in range(slices):
-        part = repeated.where(F.pmod(F.col("name"), F.lit(slices)) == number).toArrow()
-        shared = spark.sparkContext.broadcast(np.sort(part["name"].to_numpy()))
-
-        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = shared.value
-            for batch in batches if len(known) else ():
-                rows: list[tuple] = []
-                for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    read, host = read_page(html), _host(url)
-                    names = _inside_names(read, host)
-                    place = np.minimum(np.searchsorted(known, names), len(known) - 1)
-                    starts = np.flatnonzero(known[place] == names)
-                    article = _digest(read.settled() or "", host) if len(starts) else 0
-                    if not len(starts):
-                        continue
-                    ends = np.cumsum([len(b.split()) for b in read.inside()])
-                    for i in starts.tolist():
-                        block = int(np.searchsorted(ends, i, side="right"))
-                        while block < len(ends) and (before := int(ends[block - 1]) if block else 0) < i + DEPTH:
-                            low, high = max(i, before), min(i + DEPTH, int(ends[block])) - 1
-                            size = int(ends[block]) - before
-                            rows.append(
-                                (page, article, int(names[i]), block, size, low - before, high - before)
-                            )
-                            block += 1
-                columns = list(zip(*rows, strict=True)) or [()] * 7
-                kinds = [pa.int64()] * 3 + [pa.int32()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["page", "article", "name", "block", "size", "low", "high"],
-                )
-
-        met = source.select("page", "url", "html").mapInArrow(
-            look, "page bigint, article bigint, name bigint, block int, size int, low int, high int"
-        )
-        found = met if found is None else found.unionByName(met)
-    return stored(found, "inside")
-
-
-def _common_blocks(streams: DataFrame) -> DataFrame:
-    """(page, block): blocks in at least half of their host's distinct articles."""
-    settled = streams.where("settled")
-    articles = settled.select("host", "article").distinct().groupBy("host").agg(
-        F.count(F.lit(1)).alias("n_articles")
+    """(page, host, article, start, name, n) where articles have names that repeat outside of them."""
+    shared = source.sparkSession.sparkContext.broadcast(
+        bit_table(repeated.select(F.col("name").alias("key")))
     )
-    placed = settled.select("page", "host", "article", F.explode("blocks").alias("block"))
-    common = (
-        placed.select("host", "block", "article")
-        .distinct()
-        .groupBy("host", "block")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= LEAST)
-        .join(articles, "host")
-        .where("2 * n >= n_articles")
-        .select("block")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = shared.value
+        bits = np.uint64(len(cells) * 64 - 1)
+        for batch in batches:
+            found = [(np.zeros(0, np.int64),) * 5]
+            for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                read, host = read_page(html), _host(url)
+                names = _inside_names(read, host)
+                place = names.view(np.uint64) & bits
+                held = cells[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))
+                starts = np.flatnonzero(held & np.uint64(1))
+                if len(starts):
+                    article = _digest(read.settled() or "", host)
+                    own = (page, _digest("", host), article)
+                    rows = [np.full(len(starts), value, np.int64) for value in own]
+                    found.append((*rows, starts, names[starts]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)],
+                names=["page", "host", "article", "start", "name"],
+            )
+
+    met = source.select("page", "url", "html").mapInArrow(
+        look, "page bigint, host bigint, article bigint, start bigint, name bigint"
     )
-    return stored(placed.select("page", "block").join(common, "block").distinct(), "common")
+    return stored(met.join(repeated.hint("merge"), "name"), "inside")
 
 
 def extract_text(
@@ -409,8 +400,7 @@ def extract_text(
     streams = stored(
         source.select("page", "url", "html").mapInArrow(
             _streams,
-            "page bigint, settled boolean, names array<bigint>, host bigint, article bigint,"
-            " blocks array<bigint>",
+            "page bigint, settled boolean, names array<bigint>, host bigint, article bigint",
         ),
         "streams",
     )
@@ -419,9 +409,13 @@ def extract_text(
     repeated = stored(
         streams.select("page", F.explode(F.array_distinct("names")).alias("name"))
         .groupBy("name")
-        .agg(F.min("page").alias("least"), F.max("page").alias("most"))
+        .agg(
+            F.min("page").alias("least"),
+            F.max("page").alias("most"),
+            F.count(F.lit(1)).alias("n"),
+        )
         .where("least < most")
-        .select("name"),
+        .select("name", "n"),
         "repeated",
     )
     unsettled = streams.where("not settled").dropDuplicates(["page", "names"])
@@ -430,31 +424,30 @@ def extract_text(
         repeated, "name"
     )
     inside = _repeats_inside(source, repeated)
+    hosts = streams.groupBy("host").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.count_distinct("article").alias("n_articles")
+    )
     shared = (
-        inside.groupBy("name")
-        .agg(F.min("article").alias("least"), F.max("article").alias("most"))
-        .where("least < most")
+        inside.select("host", "article", "name", "n")
+        .distinct()
+        .groupBy("host", "name", "n")
+        .agg(F.count(F.lit(1)).alias("n_inside"))
+        .where(F.col("n_inside") >= LEAST)
+        .join(hosts.hint("merge"), "host")
+        .where("2 * n >= n_pages AND 2 * n_inside >= n_articles")
     )
-    words = F.array_distinct(F.flatten(F.collect_set(F.sequence("low", "high"))))
     covered = (
-        inside.join(shared, "name")
-        .groupBy("page", "block", "size")
-        .agg(F.size(words).alias("n"))
-        .where(F.col("n") >= MIN_COVER * F.col("size"))
+        inside.join(shared.select("name").hint("merge"), "name")
         .groupBy("page")
-        .agg(F.collect_set("block").alias("covered"))
+        .agg(F.collect_set("start").alias("inside"))
     )
     starts = placed.groupBy("page").agg(F.collect_set("start").alias("starts"))
-    common = _common_blocks(streams).groupBy("page").agg(F.collect_set("block").alias("common"))
     asked = stored(
-        open_pages.join(starts, "page", "left")
-        .join(covered, "page", "full")
-        .join(common, "page", "full"),
-        "asked",
+        open_pages.join(starts, "page", "left").join(covered, "page", "full"), "asked"
     )
     if not asked.isEmpty():
         still = source.join(asked, "page").select(
-            "key", "url", "page", "html", "starts", "covered", "common"
+            "key", "url", "page", "html", "starts", "inside"
         )
         rest = source.join(asked, "page", "left_anti").select("key", "url", "page", "html")
         texts = rest.mapInArrow(_settled_texts, schema).unionByName(

@@ -359,12 +359,27 @@ def _articles(host, extra, outside="", n=6):
     ]
 
 
-def test_html_repeats_decide_inside_articles(spark, monkeypatch):
+def test_html_names_of_wrappers():
+    article = "<p>one</p><p>two</p>"
+    for html in (
+        f'<div class="page has-sidebar"><article>{article}</article></div>',
+        f'<div id="content" class="no-sidebar">{article}</div>',
+        f'<article class="post comments-open">{article}</article>',
+        f'<div class="layout-sidebar"><main>{article}</main></div>',
+        f'<article><section class="related-work">{article}</section></article>',
+        f'<article><div class="social-history">{article}</div></article>',
+    ):
+        assert html_text.read_page(html).settled() == "one two", html
+    for name in ("sidebar left", "related-posts", "site-footer", "comment-12", "ad", "share-buttons"):
+        html = f'<article>{article}<div class="{name}">three</div></article>'
+        assert html_text.read_page(html).settled() == "one two", html
+
+
+def test_html_repeats_decide_inside_articles(spark):
     notice = "we use small files on your device to make this site work"
-    monkeypatch.setattr(html_text, "SLICE", 5)
     rows = (
-        # The same block in every article, then one that varies and repeats outside as well.
-        _articles("bar", lambda i: "Share Print Mail")
+        # A heading of every article, then a block that varies and repeats outside as well.
+        _articles("bar", lambda i: "Ingredients")
         + [(100 + k, u, h) for k, u, h in _articles("note", lambda i: f"{notice} {i} {i}", notice)]
         # A passage that two of six articles share, and teasers of one article on every page.
         + [(200 + k, u, h) for k, u, h in _articles("quote", lambda i: notice if i < 2 else f"q{i}")]
@@ -373,7 +388,7 @@ def test_html_repeats_decide_inside_articles(spark, monkeypatch):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     found = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
     for i in range(6):
-        assert found[i] == " ".join(f"bar{i}x{j}" for j in range(20))
+        assert found[i] == " ".join(f"bar{i}x{j}" for j in range(20)) + " Ingredients"
         assert found[100 + i] == " ".join(f"note{i}x{j}" for j in range(20))
     assert found[200].endswith(notice) and found[201].endswith(notice) and found[202].endswith("q2")
     assert found[300].endswith(notice) and found[301].endswith("t1")
