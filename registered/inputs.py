@@ -19,8 +19,9 @@ from seekframe.operators.ann import (
     open_ivf_index,
 )
 from seekframe.operators.chunk import chunk_documents
+from seekframe.operators.growth import GrownIndex, compact, create_index, grow, open_index
 from seekframe.operators.keyword import KeywordIndex, build_keyword_index, open_keyword_index
-from seekframe.session import path_exists, shared_dir, spread
+from seekframe.session import path_exists, remove_path, shared_dir, spread
 
 FAQ_TEXT_FIELDS = ["question", "section", "answer"]
 
@@ -129,6 +130,28 @@ def kmeans_ivf(spark: SparkSession, sf_dir: str) -> IvfIndex:
     return index
 
 
+def stored_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth stored vector as a query."""
+    held = vectors(spark, sf_dir).where("vec_id % 100 = 0")
+    return held.select(F.col("vec_id").alias("query_id"), "vec")
+
+
+def grown_index(spark: SparkSession, sf_dir: str, compacted: bool = False) -> GrownIndex:
+    """The even ids, then the odd ones added and every tenth id from 3 deleted."""
+    path, ready = _place(spark, sf_dir, f"grown-{compacted}")
+    if not ready:
+        if path_exists(spark, path):
+            remove_path(spark, path)
+        stored = vectors(spark, sf_dir)
+        create_index(stored.where("vec_id % 2 = 0"), path, ("vec_id",))
+        grow(path, added=stored.where("vec_id % 2 = 1"), key=("vec_id",))
+        grow(path, deleted=stored.where("vec_id % 10 = 3"), key=("vec_id",))
+        if compacted:
+            compact(spark, path, ("vec_id",))
+        _built.add(path)
+    return open_index(spark, path, ("vec_id",))
+
+
 def new_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A place for a table written anew by every run of a query."""
     path, _ = _place(spark, sf_dir, f"{name}-{uuid.uuid4().hex}")

@@ -270,6 +270,13 @@ ORACLES["ivf_all_cells"] = (
     + " SELECT query_id, vec_id, score, rank FROM hits"
 )
 
+LEFT = "remaining AS (SELECT * FROM vectors WHERE vec_id % 10 <> 3)"
+HELD = "held AS (SELECT vec_id AS query_id, vec FROM vectors WHERE vec_id % 100 = 0)"
+ORACLES["ivf_grown"] = (
+    _with(VECTORS, LEFT, HELD, _nearest("hits", "remaining", "held", "vec_id", 5, COSINE))
+    + " SELECT query_id, vec_id, score, rank FROM hits"
+)
+ORACLES["ivf_compacted"] = _with(VECTORS, LEFT) + " SELECT vec_id, label FROM remaining"
 ORACLES["ivf_kmeans"] = """SELECT item_id AS query_id, 5::bigint AS hits, true AS scores_exact,
   true AS recall_reached FROM benchmark"""
 FAQ_VECTORS = _with(

@@ -12,6 +12,7 @@ from seekframe.functions.vectors import cosine_distance, dot, l2_normalize, vect
 from seekframe.operators.ann import assign_cells, ivf_search, label_centres, nprobe_for
 from seekframe.operators.chunk import chunk_documents
 from seekframe.operators.embed import encode, mean_pool, token_rows
+from seekframe.operators.growth import bounded_search
 from seekframe.operators.fuse import (
     label_lists,
     list_report,
@@ -392,6 +393,19 @@ def ivf_all_cells(spark, sf):
     )
 
 
+@query
+def ivf_grown(spark, sf):
+    """Exact search of an index that was built in part, grown and thinned."""
+    hits, _ = bounded_search(inputs.grown_index(spark, sf), inputs.stored_queries(spark, sf))
+    return hits.select("query_id", "vec_id", "score", "rank")
+
+
+@query
+def ivf_compacted(spark, sf):
+    """The live rows of the same index after compaction."""
+    return inputs.grown_index(spark, sf, compacted=True).vectors.select("vec_id", "label")
+
+
 # Fusion
 
 
