@@ -14,18 +14,20 @@ Filters remove candidates and leave the statistics alone.
 """
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -33,10 +35,13 @@ from pyspark.sql.types import (
 
 from seekframe.functions.text import required, tokens
 from seekframe.operators.rank import top_k
-from seekframe.session import remove_path, slices, spread, union_all
+from seekframe.session import slices, spread, union_all
 from seekframe.sources.tables import open_current, publish
 
 DOCS_PER_SHARD = 16_384  # a shard is inverted and searched in memory
+POSTINGS_PER_SHARD = 4_000_000  # so are long documents, of which fewer make a shard
+TOKENS_AT_ONCE = 1_000_000  # counted in one block, to bound its memory
+LISTS_AT_ONCE, SPELLED_AT_ONCE = 20_000, 100_000  # lists written, postings spelled out in a batch
 LISTED_TERMS = 1_000  # more are joined: a predicate of that length is slow to plan
 LAYOUT = "build string, key array<string>, text_fields array<string>, keyword_fields array<string>"
 MATCHES_AT_ONCE = 2_000_000  # postings scored in one block, to bound its memory
@@ -46,14 +51,14 @@ MATCHES_AT_ONCE = 2_000_000  # postings scored in one block, to bound its memory
 class KeywordIndex:
     """An index that has been written.
 
-    ``documents`` holds ``(*key, *keyword_fields)`` and for each text field a struct of
-    its distinct ``terms``, their counts ``tf`` and the ``norm`` of its weights. ``lists``
-    are the same inverted, by shards of documents: ``(shard, field, term, docs, shares)``
-    with the documents' numbers in the shard, sorted by field and term, and one row of field
-    '' per shard that holds the ``rows`` of its keys and keyword fields in key order.
+    ``lists`` are the postings, inverted by shards of documents: ``(shard, field, term,
+    docs, counts)`` with the documents' numbers in the shard and how often each has the
+    term, sorted by field and term. Two kinds of rows have the term '': one of field '' per
+    shard holds the ``rows`` of its keys and keyword fields in key order, one of each text
+    field the ``norms`` of its documents' weights. ``documents`` are those rows as a table.
     """
 
-    documents: DataFrame
+    documents: DataFrame  # *key, *keyword_fields
     lists: DataFrame
     terms: DataFrame  # field, term, df, idf
     key: tuple[str, ...]
@@ -71,41 +76,32 @@ def build_keyword_index(
 ) -> KeywordIndex:
     """Write the index of ``docs``, whose ``key`` must be unique, below ``path`` and open it.
 
-    Texts are read once and counted where they are read. A key that occurs twice fails the
-    build. A build goes to a folder of its own, which readers see when all of it is written.
+    Texts are read once, counted and inverted where they are read; only lists of rare terms
+    and sums per document move after that. A key that occurs twice fails the build. A build
+    goes to a folder of its own, which readers see when all of it is written.
     """
     spark = docs.sparkSession
     keep = [*key, *(keyword_fields or [])]
     build = f"{path}/build-{uuid.uuid4().hex}"
-    (
-        spread(docs.select(*keep, *text_fields), *key)
-        .select(*keep, *[count_terms(tokens(required(f))).alias(f) for f in text_fields])
-        .write.parquet(f"{build}/counts")
+    words = spread(docs.select(*keep, *text_fields), *key).select(
+        *keep, *[tokens(required(f)).alias(f) for f in text_fields]
     )
-    counts = spark.read.parquet(f"{build}/counts")
-    twice = counts.groupBy(*key).count().where("count > 1").first()
+    _inverted(words, text_fields, key, keyword_fields or []).write.parquet(f"{build}/lists")
+    lists = spark.read.parquet(f"{build}/lists")
+    documents = _documents(lists)
+    twice = documents.groupBy(*key).count().where("count > 1").first()
     if twice is not None:
         raise ValueError(f"key {tuple(twice)[:-1]} occurs {twice['count']} times")
 
     (
-        _exploded(counts, text_fields, [])
+        lists.where(F.col("term") != "")
         .groupBy("field", "term")
-        .agg(F.count("*").alias("df"))
-        .withColumn("idf", F.log(F.lit(1.0 + counts.count()) / (1 + F.col("df"))) + 1)
+        .agg(F.sum(F.size("docs")).alias("df"))
+        .withColumn("idf", F.log(F.lit(1.0 + documents.count()) / (1 + F.col("df"))) + 1)
         .write.parquet(f"{build}/terms")
     )
     terms = spark.read.parquet(f"{build}/terms")
-
-    documents = _with_norms(counts, terms, text_fields, key, broadcast_terms)
-    documents.write.parquet(f"{build}/documents")
-    remove_path(spark, f"{build}/counts")
-    stored = spark.read.parquet(f"{build}/documents")
-    n_docs = stored.count()
-    cores = spark.sparkContext.defaultParallelism
-    shards = max(1, -(-n_docs // DOCS_PER_SHARD), min(cores, n_docs // 500))
-    _inverted(stored, text_fields, key, keyword_fields or [], shards).write.parquet(
-        f"{build}/lists"
-    )
+    _norms(lists, terms, broadcast_terms).write.mode("append").parquet(f"{build}/lists")
     layout = (build, list(key), list(text_fields), list(keyword_fields or []))
     publish(spark.createDataFrame([layout], LAYOUT), f"{path}/current")
     return open_keyword_index(spark, path)
@@ -114,9 +110,10 @@ def build_keyword_index(
 def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     """Open an index written earlier, by any session."""
     layout = open_current(spark, f"{path}/current").first()
+    lists = spark.read.parquet(f"{layout.build}/lists")
     return KeywordIndex(
-        documents=spark.read.parquet(f"{layout.build}/documents"),
-        lists=spark.read.parquet(f"{layout.build}/lists"),
+        documents=_documents(lists),
+        lists=lists,
         terms=spark.read.parquet(f"{layout.build}/terms"),
         key=tuple(layout.key),
         text_fields=tuple(layout.text_fields),
@@ -127,14 +124,59 @@ def open_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
 def postings(index: KeywordIndex, broadcast_terms: int = 500_000) -> DataFrame:
     """``(*key, *keyword_fields, field, term, weight)``, one row per term of a document."""
     keep = [*index.key, *index.keyword_fields]
-    rows = _exploded(index.documents, index.text_fields, keep)
-    common, rare = _by_frequency(index.terms, broadcast_terms)
-    weight = F.col("tf") * F.col("idf") / F.col("norm")
-    parts = [rows.join(common, ["field", "term"])]
-    if rare is not None:
-        rest = rows.join(common.drop("idf"), ["field", "term"], "left_anti")
-        parts.append(rest.join(rare, ["field", "term"]))
-    return union_all(parts).select(*keep, "field", "term", weight.alias("weight"))
+    schema = StructType(
+        [
+            *[index.documents.schema[c] for c in keep],
+            StructField("field", StringType()),
+            StructField("term", StringType()),
+            StructField("weight", DoubleType()),
+        ]
+    )
+    columns = ["shard", "field", "term", "docs", "counts", "norms", "rows"]
+    held = index.lists.where(F.col("term") == "").select(*columns, F.lit(None).alias("idf"))
+    weighed = _with_idf(index.lists, index.terms, broadcast_terms).select(
+        "shard", "field", "term", "docs", "counts",
+        *[F.lit(None).cast(index.lists.schema[c].dataType).alias(c) for c in ("norms", "rows")],
+        "idf",
+    )
+    spelled = _postings_of_shard(keep, index.text_fields)
+    return held.unionByName(weighed).groupBy("shard").applyInArrow(spelled, schema)
+
+
+def _postings_of_shard(keep: list[str], text_fields: tuple[str, ...]):
+    """Function for ``applyInArrow``: one row per term of every document of a shard."""
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        rows, norms = _shard_rows(table, text_fields)
+        for name in text_fields:
+            part = table.filter(pc.and_(pc.equal(table["field"], name), pc.not_equal(table["term"], "")))
+            for batch in part.to_batches(max_chunksize=LISTS_AT_ONCE):
+                sizes = batch["docs"].value_lengths().to_numpy(zero_copy_only=False)
+                block = (np.cumsum(sizes) - 1) // SPELLED_AT_ONCE
+                for own in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(block)) + 1):
+                    if len(own):
+                        lists = batch.slice(own[0], len(own))
+                        yield _spelled_lists(lists, sizes[own], rows, norms[name], keep)
+
+    return spelled
+
+
+def _spelled_lists(lists: pa.RecordBatch, sizes, rows, norms, keep: list[str]) -> pa.RecordBatch:
+    doc = lists["docs"].flatten().to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    count = lists["counts"].flatten().to_numpy(zero_copy_only=False)
+    weight = count * lists["idf"].to_numpy(zero_copy_only=False)[of] / norms[doc]
+    owner, list_no = rows.take(pa.array(doc)), pa.array(of)
+    return pa.RecordBatch.from_arrays(
+        [
+            *[owner.field(owner.type.get_field_index(c)) for c in keep],
+            lists["field"].take(list_no),
+            lists["term"].take(list_no),
+            pa.array(weight),
+        ],
+        names=[*keep, "field", "term", "weight"],
+    )
 
 
 def keyword_search(
@@ -144,7 +186,7 @@ def keyword_search(
     boosts: Mapping[str, float] | None = None,
     filters: Mapping[str, object] | None = None,
     match: tuple[str, ...] = (),
-    slice_terms: int = 1_000_000,
+    slice_terms: int = 2_000_000,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the best documents for each ``(query_id, text)``.
 
@@ -200,121 +242,135 @@ def _asked_lists(index: KeywordIndex, part: DataFrame, weights: pa.Table) -> Dat
     return index.lists.join(F.broadcast(wanted.distinct()), "term", "left_semi")
 
 
+def _documents(lists: DataFrame) -> DataFrame:
+    """``(*key, *keyword_fields)`` of all shards."""
+    return lists.where(F.col("field") == "").select(F.inline("rows"))
+
+
 def _inverted(
-    documents: DataFrame,
-    text_fields: list[str],
-    key: tuple[str, ...],
-    keyword_fields: list[str],
-    shards: int,
+    words: DataFrame, text_fields: list[str], key: tuple[str, ...], keyword_fields: list[str]
 ) -> DataFrame:
-    """Lists of the terms of every shard of documents; documents move once."""
-    shard = F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int")
-    placed = documents.withColumn("shard", shard)
+    """Lists of the terms of every shard of documents, whose fields are arrays of tokens.
+
+    A shard is a run of documents that one task reads, so no text and no posting moves. It
+    ends with ``DOCS_PER_SHARD`` documents or ``POSTINGS_PER_SHARD`` postings.
+    """
     columns = [*key, *keyword_fields]
-    row = StructType([documents.schema[c] for c in columns])
+    row = StructType([words.schema[c] for c in columns])
     schema = StructType(
         [
-            StructField("shard", IntegerType()),
+            StructField("shard", LongType()),
             StructField("field", StringType()),
             StructField("term", StringType()),
             StructField("docs", ArrayType(IntegerType())),
-            StructField("shares", ArrayType(DoubleType())),
+            StructField("counts", ArrayType(IntegerType())),
+            StructField("norms", ArrayType(DoubleType())),
             StructField("rows", ArrayType(row)),
         ]
     )
-
-    def invert(table: pa.Table) -> pa.Table:
-        number = table["shard"][0].as_py()
-        table = table.sort_by([(c, "ascending") for c in key]).combine_chunks()
-        n = table.num_rows
-        rows = pa.StructArray.from_arrays(
-            [table[c].combine_chunks() for c in columns],
-            fields=[table.schema.field(c) for c in columns],
-        )
-        held = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows)
-        parts = [
-            _lists_table(number, "", pa.array([""]), [0, 0], [], [], held),
-        ]
-        for name in text_fields:
-            field = table[name].combine_chunks()
-            terms, tf, norm = (field.field(part) for part in ("terms", "tf", "norm"))
-            sizes = terms.value_lengths().to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(n), sizes)
-            share = tf.flatten().to_numpy(zero_copy_only=False)
-            share = share / norm.to_numpy(zero_copy_only=False)[doc]
-            encoded = terms.flatten().dictionary_encode()
-            names = encoded.dictionary
-            order = pc.sort_indices(names)
-            place = np.empty(len(names), np.int64)
-            place[order.to_numpy()] = np.arange(len(names))
-            code = place[encoded.indices.to_numpy(zero_copy_only=False)]
-            by_term = np.argsort(code, kind="stable")
-            ends = np.searchsorted(code[by_term], np.arange(len(names) + 1))
-            parts.append(
-                _lists_table(
-                    number, name, names.take(order), ends, doc[by_term], share[by_term],
-                    pa.nulls(len(names), held.type),
-                )
-            )
-        return pa.concat_tables(parts)
-
-    return placed.groupBy("shard").applyInArrow(invert, schema)
-
-
-def _lists_table(number: int, field: str, terms, ends, docs, shares, rows) -> pa.Table:
-    ends = pa.array(np.asarray(ends, np.int32))
-    return pa.table(
-        {
-            "shard": pa.array(np.full(len(terms), number, np.int32)),
-            "field": pa.array([field] * len(terms), pa.string()),
-            "term": terms,
-            "docs": pa.ListArray.from_arrays(ends, pa.array(np.asarray(docs, np.int32))),
-            "shares": pa.ListArray.from_arrays(ends, pa.array(np.asarray(shares, np.float64))),
-            "rows": rows,
-        }
+    most_docs, most_postings, most_tokens = DOCS_PER_SHARD, POSTINGS_PER_SHARD, TOKENS_AT_ONCE
+
+    def invert(batches):
+        number = TaskContext.get().partitionId() << 32
+        held, counted, n, postings = [], {f: [] for f in text_fields}, 0, 0
+        for batch in batches:
+            for block in _blocks(batch, text_fields, most_docs, most_tokens):
+                held.append(block.select(columns))
+                for f in text_fields:
+                    doc, code, tf, names = _counted(block[f])
+                    counted[f].append((doc + n, code, tf, names))
+                    postings += len(doc)
+                n += block.num_rows
+                if n >= most_docs or postings >= most_postings:
+                    yield from _shard_batches(number, held, counted, key)
+                    number += 1
+                    held, counted, n, postings = [], {f: [] for f in text_fields}, 0, 0
+        if n:
+            yield from _shard_batches(number, held, counted, key)
+
+    return words.mapInArrow(invert, schema)
+
+
+def _blocks(batch: pa.RecordBatch, text_fields: list[str], most_docs: int, most_tokens: int):
+    """Runs of rows of a batch with at most ``most_tokens`` tokens, or of one row."""
+    if batch.num_rows == 0:
+        return
+    sizes = sum(
+        batch[f].value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for f in text_fields
     )
-
-
-def count_terms(token_array: Column) -> Column:
-    """STRUCT<terms, tf>: the distinct tokens of an array and how often each occurs."""
-
-    def count(lists):
-        n = len(lists)
-        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(n), sizes)
-        encoded = lists.flatten().dictionary_encode()
-        width = max(1, len(encoded.dictionary))
-        code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        pairs, tf = np.unique(row * width + code, return_counts=True)
-        ends = np.searchsorted(pairs, np.arange(n + 1) * width).astype(np.int32)
-        terms = encoded.dictionary.take(pa.array(pairs % width))
-        return pa.StructArray.from_arrays(
-            [
-                pa.ListArray.from_arrays(pa.array(ends), terms),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(tf.astype(np.int32))),
-            ],
-            names=["terms", "tf"],
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        before = ends[start] - sizes[start]
+        stop = int(np.searchsorted(ends, before + most_tokens, side="right"))
+        stop = min(max(stop, start + 1), start + most_docs)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _counted(lists):
+    """(row, code, count) of the distinct tokens of arrays of tokens, and the tokens by code."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lists)), sizes)
+    encoded = lists.flatten().dictionary_encode()
+    width = max(1, len(encoded.dictionary))
+    code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    pairs, tf = np.unique(row * width + code, return_counts=True)
+    doc, code = (pairs // width).astype(np.int32), (pairs % width).astype(np.int32)
+    return doc, code, tf.astype(np.int32), encoded.dictionary
+
+
+def _shard_batches(number: int, held, counted, key: tuple[str, ...]):
+    """The rows of one shard: its documents in key order, and the lists of its fields."""
+    table = pa.Table.from_batches(held)
+    order = pc.sort_indices(table, [(c, "ascending") for c in key])
+    rank = np.empty(table.num_rows, np.int32)
+    rank[order.to_numpy()] = np.arange(table.num_rows)
+    table = table.take(order).combine_chunks()
+    rows = pa.StructArray.from_arrays(
+        [table[c].combine_chunks() for c in table.column_names], fields=list(table.schema)
+    )
+    held_rows = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+    head = _lists_batch(number, "", pa.array([""]), np.zeros(2), [], [], held_rows)
+    yield head
+    for field, blocks in counted.items():
+        encoded = pa.chunked_array([names for *_, names in blocks], pa.string())
+        encoded = encoded.combine_chunks().dictionary_encode()
+        names = encoded.dictionary
+        sorted_names = pc.sort_indices(names)
+        place = np.empty(len(names), np.int32)
+        place[sorted_names.to_numpy()] = np.arange(len(names), dtype=np.int32)
+        place = place[encoded.indices.to_numpy(zero_copy_only=False)]
+        offsets = np.cumsum([0, *[len(names) for *_, names in blocks]])
+        code = np.concatenate([place[at + c] for at, (_, c, _, _) in zip(offsets, blocks)])
+        doc = rank[np.concatenate([d for d, *_ in blocks])]
+        by_term = np.lexsort((doc, code))
+        ends = np.searchsorted(code[by_term], np.arange(len(names) + 1))
+        tf = np.concatenate([t for _, _, t, _ in blocks])[by_term]
+        batch = _lists_batch(
+            number, field, names.take(sorted_names), ends, doc[by_term], tf,
+            pa.nulls(len(names), held_rows.type),
         )
+        for at in range(0, batch.num_rows, LISTS_AT_ONCE):
+            yield batch.slice(at, LISTS_AT_ONCE)
 
-    counter = F.arrow_udf(count, "struct<terms: array<string>, tf: array<int>>")
-    return counter.asNondeterministic()(token_array)
-
-
-def _exploded(documents: DataFrame, text_fields: list[str], keep: list[str]) -> DataFrame:
-    """``(*keep, field, norm, term, tf)`` from the structs of the text fields."""
-    has_norm = "norm" in documents.schema[text_fields[0]].dataType.fieldNames()
-    fields = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("field"),
-                F.arrays_zip(F.col(f)["terms"].alias("term"), F.col(f)["tf"].alias("tf")).alias("z"),
-                (F.col(f)["norm"] if has_norm else F.lit(0.0)).alias("norm"),
-            )
-            for f in text_fields
-        ]
+
+def _lists_batch(number: int, field: str, terms, ends, docs, counts, rows) -> pa.RecordBatch:
+    ends = pa.array(np.asarray(ends, np.int32))
+    n = len(terms)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(n, number, np.int64)),
+            pa.array([field] * n, pa.string()),
+            terms,
+            pa.ListArray.from_arrays(ends, pa.array(np.asarray(docs, np.int32))),
+            pa.ListArray.from_arrays(ends, pa.array(np.asarray(counts, np.int32))),
+            pa.nulls(n, pa.list_(pa.float64())),
+            rows,
+        ],
+        names=["shard", "field", "term", "docs", "counts", "norms", "rows"],
     )
-    rows = documents.select(*keep, F.inline(fields))
-    return rows.select(*keep, "field", "norm", F.inline("z"))
 
 
 def _by_frequency(terms: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
@@ -334,70 +390,37 @@ def _by_frequency(terms: DataFrame, limit: int) -> tuple[DataFrame, DataFrame |
     return F.broadcast(terms.where(common).select(named)), terms.where(~common).select(named)
 
 
-def _with_norms(
-    counts: DataFrame, terms: DataFrame, text_fields: list[str], key: tuple[str, ...], limit: int
-) -> DataFrame:
-    """Add the ``norm`` of every text field: the root of its summed ``(tf * idf)^2``.
-
-    The share of common terms is summed where the documents lie. Only rare terms are
-    joined by term, and only then do documents move, to meet the sums of their rare terms.
-    """
-    others = [c for c in counts.columns if c not in text_fields]
+def _with_idf(lists: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
+    """``(shard, field, term, docs, counts, idf)``; only lists of rare terms move."""
+    named = lists.where(F.col("term") != "").select("shard", "field", "term", "docs", "counts")
     common, rare = _by_frequency(terms, limit)
-    table = common.toArrow()
-    known = {}
-    for f in text_fields:
-        part = table.filter(pc.equal(table["field"], f))
-        known[f] = (part["term"].combine_chunks(), part["idf"].to_numpy())
-    shared = counts.sparkSession.sparkContext.broadcast(known)
-
-    def squares(field):
-        def of(terms_list, tf_list):
-            vocabulary, idf = shared.value[field]
-            n = len(terms_list)
-            sizes = terms_list.value_lengths().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(n), sizes)
-            at = pc.index_in(terms_list.flatten(), value_set=vocabulary)
-            found = at.is_valid().to_numpy(zero_copy_only=False)
-            weight = tf_list.flatten().to_numpy(zero_copy_only=False)[found]
-            weight = weight * idf[at.drop_null().to_numpy(zero_copy_only=False)]
-            total = np.bincount(row[found], weights=weight * weight, minlength=n)
-            return pa.array(total.astype(np.float64))
-
-        return F.arrow_udf(of, "double").asNondeterministic()(
-            F.col(field)["terms"], F.col(field)["tf"]
-        )
-
-    sums = [f"_squares_{i}" for i in range(len(text_fields))]
-    summed = counts.select("*", *[squares(f).alias(s) for f, s in zip(text_fields, sums)])
+    parts = [named.join(common, ["field", "term"])]
     if rare is not None:
-        weight = F.col("tf") * F.col("idf")
-        rest = (
-            _exploded(counts, text_fields, list(key))
-            .join(common.drop("idf"), ["field", "term"], "left_anti")
-            .join(rare, ["field", "term"])
-            .groupBy(*key)
-            .agg(
-                *[
-                    F.sum(F.when(F.col("field") == f, weight * weight)).alias(f"_more{s}")
-                    for f, s in zip(text_fields, sums)
-                ]
-            )
-        )
-        more = [F.coalesce(F.col(f"_more{s}"), F.lit(0.0)) for s in sums]
-        summed = summed.join(rest, list(key), "left").select(
-            *counts.columns, *[(F.col(s) + m).alias(s) for s, m in zip(sums, more)]
-        )
-    return summed.select(
-        *others,
-        *[
-            F.struct(
-                F.col(f)["terms"].alias("terms"),
-                F.col(f)["tf"].alias("tf"),
-                F.sqrt(F.col(s)).alias("norm"),
-            ).alias(f)
-            for f, s in zip(text_fields, sums)
-        ],
+        rest = named.join(common.drop("idf"), ["field", "term"], "left_anti")
+        parts.append(rest.join(rare, ["field", "term"]))
+    return union_all(parts)
+
+
+def _norms(lists: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``norms``: per shard and field the roots of the summed ``(tf * idf)^2``.
+
+    Squares are summed where the lists lie, and again by document; documents do not move.
+    """
+    weight = F.col("counts") * F.col("idf")
+    per_document = (
+        _with_idf(lists, terms, limit)
+        .select("shard", "field", "idf", F.inline(F.arrays_zip("docs", "counts")))
+        .groupBy("shard", "field", "docs")
+        .agg(F.sqrt(F.sum(weight * weight)).alias("norms"))
+    )
+    listed = F.array_sort(F.collect_list(F.struct("docs", "norms")))
+    none = {c: F.lit(None).cast(lists.schema[c].dataType) for c in ("counts", "rows")}
+    return (
+        per_document.groupBy("shard", "field")
+        .agg(listed.alias("z"))
+        .select("shard", "field", F.lit("").alias("term"), "z.docs", "z.norms")
+        .withColumns(none)
+        .select(*lists.columns)
     )
 
 
@@ -429,13 +452,12 @@ def _query_weights(
 
 def _query_matrix(weights, text_fields: tuple[str, ...], match: tuple[str, ...]):
     """Query ids, match values, and per field the terms with the queries that hold them."""
-    asked = weights.select(["query_id", *match]).group_by(["query_id", *match]).aggregate([])
-    values = list(zip(*[asked[c].to_pylist() for c in ["query_id", *match]]))
-    number = {value: i for i, value in enumerate(values)}
-    query = np.array(
-        [number[v] for v in zip(*[weights[c].to_pylist() for c in ["query_id", *match]])],
-        dtype=np.int64,
-    )
+    columns = [weights[c].combine_chunks() for c in ["query_id", *match]]
+    codes = [c.dictionary_encode(null_encoding="encode").indices.to_numpy() for c in columns]
+    _, first, query = np.unique(codes, axis=1, return_index=True, return_inverse=True)
+    query = query.reshape(-1).astype(np.int64)
+    asked = [c.take(pa.array(first)) for c in columns]
+    values = list(zip(*[c.to_pylist() for c in asked[1:]])) if match else [()] * len(first)
     by_field = {}
     for f in text_fields:
         mask = pc.equal(weights["field"], f)
@@ -446,7 +468,7 @@ def _query_matrix(weights, text_fields: tuple[str, ...], match: tuple[str, ...])
         rows = mask.to_numpy(zero_copy_only=False) if len(mask) else np.empty(0, bool)
         weight = weights["query_weight"].to_numpy()[rows]
         by_field[f] = (encoded.dictionary, starts, query[rows][order], weight[order])
-    return asked["query_id"].combine_chunks(), [v[1:] for v in values], by_field
+    return asked[0], values, by_field
 
 
 def _best_of_shard(
@@ -461,10 +483,8 @@ def _best_of_shard(
 
     def best(table: pa.Table) -> pa.Table:
         ids, wanted, by_field = shared.value
-        head = table.filter(pc.equal(table["field"], ""))
-        rows = head["rows"].combine_chunks().flatten()
-        n = len(rows)
-        allowed = np.ones(n, bool)
+        rows, norms = _shard_rows(table, text_fields)
+        allowed = np.ones(len(rows), bool)
         for name, value in filters.items():
             column = rows.field(rows.type.get_field_index(name))
             equal = pc.equal(column, pa.scalar(value, column.type))
@@ -474,10 +494,15 @@ def _best_of_shard(
         if match:
             values = zip(*[rows.field(rows.type.get_field_index(c)).to_pylist() for c in match])
             row_group = np.array([groups.get(v, -1) for v in values], np.int64)
-        lists, entries = _entries(table, text_fields, by_field)
+            allowed &= row_group >= 0
+            row_group = row_group[allowed]
+        # What a filter removes is never scored.
+        rows = rows.filter(pa.array(allowed))
+        n = len(rows)
+        lists, entries = _entries(table, text_fields, by_field, norms, allowed)
         owner, score, doc = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
         for query, place, value in _scores(lists, entries, n):
-            good = (value > 0) & allowed[place]
+            good = value > 0
             if match:
                 good &= row_group[place] == asked_group[query]
             query, place, value = query[good], place[good], value[good]
@@ -501,8 +526,25 @@ def _best_of_shard(
     return best
 
 
-def _entries(table: pa.Table, text_fields: tuple[str, ...], by_field):
-    """Lists of a shard end to end, and the (query, list, weight) that ask for them by query."""
+def _shard_rows(table: pa.Table, text_fields: tuple[str, ...]):
+    """Keys and keyword fields of a shard's documents, and by field the norms of their weights."""
+    held = table.filter(pc.equal(table["term"], ""))
+    rows = held.filter(pc.equal(held["field"], ""))["rows"].combine_chunks().flatten()
+    norms = {}
+    for name in text_fields:
+        part = held.filter(pc.equal(held["field"], name))
+        norms[name] = np.ones(len(rows))
+        docs = part["docs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        norms[name][docs] = part["norms"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return rows, norms
+
+
+def _entries(table: pa.Table, text_fields: tuple[str, ...], by_field, norms, allowed):
+    """Lists of a shard end to end, and the (query, list, weight) that ask for them by query.
+
+    The lists hold ``allowed`` documents only, numbered from 0 among these.
+    """
+    place = np.cumsum(allowed) - 1
     docs, shares, starts, sizes = [], [], [], []
     query, number, weight = [], [], []
     total = lists = 0
@@ -515,8 +557,14 @@ def _entries(table: pa.Table, text_fields: tuple[str, ...], by_field):
         part = part.filter(code.is_valid())
         code = code.drop_null().to_numpy(zero_copy_only=False)
         size = pc.list_value_length(part["docs"]).to_numpy()
-        docs.append(part["docs"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
-        shares.append(part["shares"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
+        doc = part["docs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        share = part["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        good = allowed[doc]
+        size = np.bincount(np.repeat(np.arange(len(size)), size)[good], minlength=len(size))
+        doc, share = doc[good], share[good]
+        code, size = code[size > 0], size[size > 0]
+        docs.append(place[doc])
+        shares.append(share / norms[name][doc])
         starts.append(total + np.cumsum(size) - size)
         sizes.append(size)
         times = ends[code + 1] - ends[code]
