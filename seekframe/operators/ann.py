@@ -134,15 +134,15 @@ def ivf_search(
     """
     nprobe = nprobe or math.ceil(math.sqrt(index.cells))
     probes = probe_cells(index.centres, queries, nprobe, metric)
-    wanted = queries.join(probes.select("query_id", "cell"), "query_id")
     return vector_search(
         index.vectors,
-        wanted,
+        queries,
         num_results,
         key=key,
         on=("cell", *on),
         metric=metric,
         query_rows=queries.count() * nprobe,
+        probes=probes.select("query_id", "cell"),
     )
 
 

@@ -29,6 +29,7 @@ from seekframe.session import shared_dir, union_all
 from seekframe.sources.tables import _versions, publish
 
 SLACK = 1e-6  # scores are rounded to 6 places
+PROBES_PER_VECTOR = 64
 
 _LOG = "kind string, folder string, upto int, adds boolean, schema string"
 
@@ -119,11 +120,13 @@ def bounded_search(
     ranked = _written(probe_cells(index.centres, asked, index.cells), "probes")
     key = index.key
 
+    n_asked = asked.count()
+
     def within(probes: DataFrame) -> DataFrame:
-        wanted = asked.join(probes, "query_id")
-        rows = probes.count()
+        # In a slice of queries, this many probes take about the room of one vector.
+        rows = n_asked + probes.count() // PROBES_PER_VECTOR
         return vector_search(
-            index.vectors, wanted, num_results, key=key, on=("cell",), query_rows=rows
+            index.vectors, asked, num_results, key=key, on=("cell",), query_rows=rows, probes=probes
         )
 
     near = ranked.where(F.col("rank") <= first).select("query_id", "cell")

@@ -34,6 +34,7 @@ def vector_search(
     similarity: str = "score",
     query_rows: int | None = None,
     slice_rows: int = 16_384,
+    probes: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, *key, score, rank)``: the nearest vectors for each query.
 
@@ -46,10 +47,19 @@ def vector_search(
     Queries are broadcast as a matrix of about ``slice_rows`` rows; larger tables go out
     in slices, one scan of ``vectors`` each. ``query_rows`` is the number of rows in
     ``queries``, or a bound on it, and is counted if not given.
+
+    ``probes`` is ``(query_id, name)`` for an ``on`` column ``name`` that ``queries`` lacks:
+    the values that each row of the query looks at. A vector then goes out once, not once
+    per value.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric}")
     spark = vectors.sparkSession
+    listed = None
+    if probes is not None:
+        listed = next(c for c in probes.columns if c != "query_id")
+        looks_at = probes.groupBy("query_id").agg(F.collect_list(listed).alias(listed))
+        queries = queries.join(looks_at, "query_id")
     wanted = queries.dropna(subset=["vec", *on]).select("query_id", *on, "vec")
     stored = vectors.where(F.col("vec").isNotNull()).select(*key, *on, "vec")
     schema = StructType(
@@ -64,12 +74,12 @@ def vector_search(
     scored = []
     for part in slices(wanted, "query_id", query_rows, slice_rows):
         table = part.toArrow()
-        groups: dict[tuple, list[int]] = {}
-        for i, value in enumerate(_rows(table, on)):
-            groups.setdefault(value, []).append(i)
+        groups = _groups(table, on, listed)
         shared = spark.sparkContext.broadcast(
             (table["query_id"].combine_chunks(), _matrix(table["vec"], metric), groups)
         )
+        if listed is not None:
+            part = part.withColumn(listed, F.explode(listed))
         candidates = _may_match(stored, part, groups, on)
         best = _best_of_batches(shared, key, on, metric, num_results)
         scored.append(candidates.mapInArrow(best, schema))
@@ -77,8 +87,34 @@ def vector_search(
     return hits.withColumnRenamed("score", similarity)
 
 
+def _groups(table: pa.Table, on: tuple[str, ...], listed: str | None) -> dict[tuple, np.ndarray]:
+    """The rows of queries by their ``on`` values, of which the column ``listed`` holds many."""
+    own: dict[tuple, list[int]] = {}
+    if listed is None:
+        for i, value in enumerate(_rows(table, on)):
+            own.setdefault(value, []).append(i)
+        return {value: np.array(rows, np.int32) for value, rows in own.items()}
+    others = tuple(c for c in on if c != listed)
+    codes = [own.setdefault(value, len(own)) for value in _rows(table, others)]
+    lists = table[listed].combine_chunks()
+    row = pc.list_parent_indices(lists).to_numpy().astype(np.int32)
+    code = np.array(codes, np.int32)[row]
+    encoded = lists.flatten().dictionary_encode()
+    value = encoded.indices.to_numpy(zero_copy_only=False)
+    order = np.lexsort((row, value, code))
+    row, value, code = row[order], value[order], code[order]
+    changes = np.flatnonzero((np.diff(value) != 0) | (np.diff(code) != 0)) + 1
+    names, given = encoded.dictionary.to_pylist(), list(own)
+    groups = {}
+    for rows, at in zip(np.split(row, changes), [0, *changes]):
+        if len(rows):
+            named = dict(zip(others, given[code[at]])) | {listed: names[value[at]]}
+            groups[tuple(named[c] for c in on)] = rows
+    return groups
+
+
 def _may_match(
-    stored: DataFrame, part: DataFrame, groups: dict[tuple, list[int]], on: tuple[str, ...]
+    stored: DataFrame, part: DataFrame, groups: dict[tuple, np.ndarray], on: tuple[str, ...]
 ) -> DataFrame:
     """Stored rows whose ``on`` values some query asks for.
 
