@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from seekframe.functions.text import tokens
 
+VALUES_AT_ONCE = 1_000_000  # tokens and counts of one block of rows, to bound its memory
+
 
 def token_hash(token: Column) -> Column:
     """First nine hex digits of the MD5 as a number.
@@ -27,10 +29,16 @@ def hash_encode(text: Column, dims: int = 64, normalize: bool = True) -> Column:
     """
 
     def histogram(hashes):
-        n = len(hashes)
         sizes = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        block = np.cumsum(sizes.astype(np.int64) + dims) // VALUES_AT_ONCE
+        bounds = [0, *(np.flatnonzero(np.diff(block)) + 1), len(sizes)]
+        cut = zip(bounds, bounds[1:])
+        return pa.concat_arrays([of_block(hashes.slice(a, b - a), sizes[a:b]) for a, b in cut])
+
+    def of_block(hashes, sizes):
+        n = len(hashes)
         row = np.repeat(np.arange(n), sizes)
-        code = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        code = hashes.flatten().to_numpy(zero_copy_only=False)
         dim = (code >> 8) % dims
         sign = np.where(code & 8, -1.0, 1.0)
         counts = np.bincount(row * dims + dim, weights=sign, minlength=n * dims)
