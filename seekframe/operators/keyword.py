@@ -13,8 +13,9 @@ Scoring is TF-IDF cosine per text field (Salton and Buckley, 1988):
 Filters remove candidates and leave the statistics alone.
 """
 
+import math
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql.types import (
 
 from seekframe.functions.text import required, tokens
 from seekframe.operators.rank import top_k
-from seekframe.session import slices, spread, union_all
+from seekframe.session import remove_path, shared_dir, spread, union_all
 from seekframe.sources.tables import open_current, publish
 
 DOCS_PER_SHARD = 16_384  # a shard is inverted and searched in memory
@@ -45,6 +46,11 @@ LISTS_AT_ONCE, SPELLED_AT_ONCE = 20_000, 100_000  # lists written, postings spel
 LISTED_TERMS = 1_000  # more are joined: a predicate of that length is slow to plan
 LAYOUT = "build string, key array<string>, text_fields array<string>, keyword_fields array<string>"
 MATCHES_AT_ONCE = 2_000_000  # postings scored in one block, to bound its memory
+PACKED_TERMS = 100_000  # asked for, from which full shards repay that lists are packed
+CELLS_AT_ONCE = 2_000_000  # scores of a block of queries with all documents of a packed shard
+DENSE_CELLS = 4_000_000  # of the common terms of a packed shard, kept as a matrix
+LEAST_DOCS = 1_024  # of a packed shard, if there are not more tasks than cores otherwise
+DENSE_SHARE = 1 / 256  # of a list's cells that match, from which it is a row of that matrix
 
 
 @dataclass(frozen=True)
@@ -195,8 +201,12 @@ def keyword_search(
 
     Only the lists of terms that some query asks for are read; they meet in their shard,
     are scored there in Arrow batches and leave it as the best k per query. A word that a
-    third of the documents share is split over all shards. Query tables with more than
-    ``slice_terms`` terms go out in slices.
+    third of the documents share is split over all shards.
+
+    Query tables with more than ``slice_terms`` terms go out in slices, one after the other.
+    For these, and from ``PACKED_TERMS`` on, the lists move once, cut to the documents that pass
+    the filters and packed to full shards in the shared folder, and the hits of each slice are
+    appended to a table there.
     """
     boosts = dict(boosts or {})
     unknown = set(boosts) - set(index.text_fields)
@@ -215,25 +225,376 @@ def keyword_search(
     )
     distinct = F.size(F.array_distinct(tokens(F.col("text"))))
     n_terms = queries.agg(F.sum(distinct)).first()[0] or 0
-    scored = []
-    for part in slices(queries, "query_id", n_terms * len(index.text_fields), slice_terms):
-        weights = _query_weights(index, part, boosts, match).toArrow()
-        shared = index.lists.sparkSession.sparkContext.broadcast(
-            _query_matrix(weights, index.text_fields, match)
+    order = [F.desc("score"), *map(F.asc, index.key)]
+    size = n_terms * len(index.text_fields)
+    if size > min(slice_terms, PACKED_TERMS):
+        n = math.ceil(size / slice_terms)
+        best = lambda hits: top_k(hits, num_results, order)
+        kept = dict(filters or {})
+        return _search_slices(index, queries, n, boosts, kept, match, num_results, schema, best)
+    weights = _query_weights(index, queries, boosts, match).toArrow()
+    shared = index.lists.sparkSession.sparkContext.broadcast(
+        _query_matrix(weights, index.text_fields, match)
+    )
+    asked = _asked_lists(index, queries, weights)
+    best = _best_of_shard(
+        shared, index.key, index.text_fields, dict(filters or {}), match, num_results
+    )
+    return top_k(asked.groupBy("shard").applyInArrow(best, schema), num_results, order)
+
+
+def _search_slices(
+    index: KeywordIndex,
+    queries: DataFrame,
+    n: int,
+    boosts: Mapping[str, float],
+    filters: dict[str, object],
+    match: tuple[str, ...],
+    k: int,
+    schema: StructType,
+    best: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The ``best`` hits of ``n`` slices of the queries, searched one after the other.
+
+    Queries are written once by slice and lists once as packed shards, so neither moves again
+    for every slice; only one slice is broadcast at a time.
+    """
+    spark = index.lists.sparkSession
+    place = f"{shared_dir(spark)}/search-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("query_id"), F.lit(n)).cast("int").alias("_slice")
+    cut = queries.select("query_id", *match, "text", part).repartition(n, "_slice")
+    cut.write.partitionBy("_slice").parquet(f"{place}/queries")
+    _packed(index, filters).write.option("maxRecordsPerFile", 1).parquet(f"{place}/shards")
+    asked, shards = spark.read.parquet(f"{place}/queries"), spark.read.parquet(f"{place}/shards")
+    for i in range(n):
+        own = asked.where(F.col("_slice") == i).drop("_slice")
+        weights = _query_weights(index, own, boosts, match).toArrow()
+        shared = spark.sparkContext.broadcast(_query_matrix(weights, index.text_fields, match))
+        scored = shards.mapInArrow(
+            _best_of_packed(shared, index.key, index.text_fields, match, k), schema
         )
-        asked = _asked_lists(index, part, weights)
-        best = _best_of_shard(
-            shared, index.key, index.text_fields, dict(filters or {}), match, num_results
+        best(scored).write.mode("append").parquet(f"{place}/hits")
+        shared.destroy()
+    for done in ("queries", "shards"):
+        remove_path(spark, f"{place}/{done}")
+    return spark.read.parquet(f"{place}/hits")
+
+
+def _packed(index: KeywordIndex, filters: dict[str, object]) -> DataFrame:
+    """``(lists, rows)``: the documents that pass the filters in full shards, a row for each.
+
+    A filter may leave little of every shard. What is left moves once, into shards of at most
+    ``DOCS_PER_SHARD`` documents and ``POSTINGS_PER_SHARD`` postings or what was one shard.
+    """
+    lists, context = index.lists, index.lists.sparkSession.sparkContext
+    flags = lists.where(F.col("field") == "").mapInArrow(
+        _flags_of_shard(filters), "shard long, size int, docs int, flags binary"
+    )
+    found = flags.where("docs > 0").toArrow().to_pylist()
+    kept = {r["shard"]: (0, r["size"], r["flags"]) for r in found}
+    counted = (
+        lists.where(F.col("term") != "")
+        .select("shard", "docs")
+        .mapInArrow(_postings_left(context.broadcast(kept)), "shard long, postings long")
+        .groupBy("shard")
+        .agg(F.sum("postings"))
+    )
+    left = dict(map(tuple, counted.collect()))
+    most = min(DOCS_PER_SHARD, max(LEAST_DOCS, -(-sum(r["docs"] for r in found) // context.defaultParallelism)))
+    group, docs, postings = 0, 0, 0
+    for r in sorted(found, key=lambda r: r["shard"]):
+        n = left.get(r["shard"], 0)
+        if docs and (docs + r["docs"] > most or postings + n > POSTINGS_PER_SHARD):
+            group, docs, postings = group + 1, 0, 0
+        docs, postings = docs + r["docs"], postings + n
+        kept[r["shard"]] = (group, *kept[r["shard"]][1:])
+    shared, moved = context.broadcast(kept), "pack long, shard long, kind string, data binary"
+    # Apart: columns of arrays that are null in nearly all rows are slow to read.
+    held = lists.where(F.col("term") == "").mapInArrow(_left_of_heads(shared), moved)
+    cut = lists.where(F.col("term") != "").select("shard", "field", "term", "docs", "counts")
+    pack = _pack([*index.key, *index.keyword_fields], index.key, index.text_fields)
+    return (
+        held.unionByName(cut.mapInArrow(_left_of_lists(shared), moved))
+        .groupBy("pack")
+        .applyInArrow(pack, "lists binary, rows binary")
+    )
+
+
+def _flags_of_shard(filters: dict[str, object]):
+    """Function for ``mapInArrow``: how many documents a shard has, how many and which pass."""
+
+    def flags(batches):
+        for batch in batches:
+            good = [_allowed(rows.values, filters) for rows in batch["rows"]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["shard"],
+                    pa.array([len(g) for g in good], pa.int32()),
+                    pa.array([g.sum() for g in good], pa.int32()),
+                    pa.array([np.packbits(g).tobytes() for g in good], pa.binary()),
+                ],
+                names=["shard", "size", "docs", "flags"],
+            )
+
+    return flags
+
+
+def _by_shard(batches, kept):
+    """Shard, pack, the flags of its documents and its rows, for shards that have any left."""
+    for batch in batches:
+        for number in pc.unique(batch["shard"]).to_pylist():
+            if number in kept:
+                pack, size, flags = kept[number]
+                good = np.unpackbits(np.frombuffer(flags, np.uint8), count=size).astype(bool)
+                yield number, pack, good, batch.filter(pc.equal(batch["shard"], number))
+
+
+def _postings_left(shared):
+    """Function for ``mapInArrow``: how many postings of a shard a filter leaves."""
+
+    def count(batches):
+        for number, _, good, own in _by_shard(batches, shared.value):
+            left = int(good[own["docs"].flatten().to_numpy(zero_copy_only=False)].sum())
+            yield pa.RecordBatch.from_pydict({"shard": [number], "postings": [left]})
+
+    return count
+
+
+def _left(own: pa.RecordBatch, good, values: str, *columns: str) -> pa.RecordBatch:
+    """The documents of lists that are left, numbered among these, with ``values`` of each."""
+    size = own["docs"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    doc = own["docs"].flatten().to_numpy(zero_copy_only=False)
+    stays = good[doc]
+    of = np.repeat(np.arange(len(size)), size)[stays]
+    ends = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(size)))), pa.int32())
+    docs = pa.ListArray.from_arrays(ends, pa.array((np.cumsum(good) - 1)[doc[stays]], pa.int32()))
+    held = pa.ListArray.from_arrays(ends, own[values].flatten().filter(pa.array(stays)))
+    out = pa.RecordBatch.from_arrays(
+        [*[own[c] for c in columns], docs, held], names=[*columns, "docs", values]
+    )
+    return out.filter(pc.greater(pc.list_value_length(docs), 0))
+
+
+def _left_of_lists(shared):
+    """Function for ``mapInArrow``: the lists of the documents that are left."""
+
+    def left(batches):
+        for number, pack, good, own in _by_shard(batches, shared.value):
+            yield _parcel(pack, number, "lists", _left(own, good, "counts", "field", "term"))
+
+    return left
+
+
+def _left_of_heads(shared):
+    """Function for ``mapInArrow``: rows and norms of the documents that are left."""
+
+    def left(batches):
+        for number, pack, good, own in _by_shard(batches, shared.value):
+            head = pc.equal(own["field"], "")
+            normed = own.filter(pc.invert(head))
+            if normed.num_rows:
+                yield _parcel(pack, number, "norms", _left(normed, good, "norms", "field"))
+            for rows in own["rows"].filter(head):
+                stays = pa.RecordBatch.from_struct_array(rows.values.filter(pa.array(good)))
+                yield _parcel(pack, number, "rows", stays)
+
+    return left
+
+
+def _parcel(pack: int, shard: int, kind: str, part: pa.RecordBatch) -> pa.RecordBatch:
+    """Part of a shard as one row."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([pack], pa.int64()),
+            pa.array([shard], pa.int64()),
+            pa.array([kind], pa.string()),
+            pa.array([_stream([part], part.schema)], pa.binary()),
+        ],
+        names=["pack", "shard", "kind", "data"],
+    )
+
+
+def _stream(batches: list[pa.RecordBatch], schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        for batch in batches:
+            out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _pack(columns: list[str], key: tuple[str, ...], text_fields: tuple[str, ...]):
+    """Function for ``applyInArrow``: what is left of some shards as one, in two Arrow streams.
+
+    ``lists`` are ``(field, term, docs, counts)``; ``rows`` the documents in key order, with
+    their norms by number of the text field.
+    """
+    numbered = pa.list_(pa.int32())
+    schema = pa.schema(
+        [("field", pa.string()), ("term", pa.string()), ("docs", numbered), ("counts", numbered)]
+    )
+
+    def pack(table: pa.Table) -> pa.Table:
+        parts: dict[str, list[tuple[int, pa.Table]]] = {"rows": [], "norms": [], "lists": []}
+        for number, kind, data in zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["data"]):
+            parts[kind].append((number, pa.ipc.open_stream(data.as_buffer()).read_all()))
+        heads = sorted(parts["rows"], key=lambda x: x[0])
+        ends = np.cumsum([part.num_rows for _, part in heads])
+        first = {number: end - part.num_rows for (number, part), end in zip(heads, ends)}
+        rows = pa.concat_tables([part for _, part in heads]).select(columns)
+        order = pc.sort_indices(rows, [(c, "ascending") for c in key])
+        rank = np.empty(len(rows), np.int32)
+        rank[order.to_numpy()] = np.arange(len(rows), dtype=np.int32)
+        rows = rows.take(order)
+
+        def joined(kind: str, field: str, values: str):
+            """Rows of all parts, the row of each document in them, its number and value."""
+            own = [(n, part.filter(pc.equal(part["field"], field))) for n, part in parts[kind]]
+            own = [(n, part) for n, part in own if part.num_rows]
+            if not own:
+                return None
+            whole = pa.concat_tables([part for _, part in own])
+            start = np.repeat([first[n] for n, _ in own], [part.num_rows for _, part in own])
+            size = pc.list_value_length(whole["docs"]).to_numpy()
+            of = np.repeat(np.arange(len(size)), size)
+            doc, value = (whole[c].combine_chunks().flatten().to_numpy() for c in ("docs", values))
+            return whole, of, rank[start[of] + doc], value
+
+        merged = []
+        for i, name in enumerate(text_fields):
+            norms = np.ones(len(rows))
+            if held := joined("norms", name, "norms"):
+                norms[held[2]] = held[3]
+            rows = rows.append_column(f"norm {i}", pa.array(norms))
+            if held := joined("lists", name, "counts"):
+                whole, of, doc, counts = held
+                terms = _whole(whole["term"]).dictionary_encode()
+                code = terms.indices.to_numpy()[of]
+                by_term = np.lexsort((doc, code))
+                ends = np.searchsorted(code[by_term], np.arange(len(terms.dictionary) + 1))
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x[by_term], pa.int32()))
+                    for x in (doc, counts)
+                ]
+                fields = pa.array([name] * len(terms.dictionary), pa.string())
+                merged.append(pa.RecordBatch.from_arrays([fields, terms.dictionary, *lists], schema=schema))
+        held_rows = _stream(rows.combine_chunks().to_batches(), rows.schema)
+        return pa.table(
+            [pa.array([x], pa.binary()) for x in (_stream(merged, schema), held_rows)],
+            names=["lists", "rows"],
         )
-        scored.append(asked.groupBy("shard").applyInArrow(best, schema))
-    return top_k(union_all(scored), num_results, [F.desc("score"), *map(F.asc, index.key)])
+
+    return pack
+
+
+def _best_of_packed(
+    shared, key: tuple[str, ...], text_fields: tuple[str, ...], match: tuple[str, ...], k: int
+):
+    """Function for ``mapInArrow``: score packed shards, keep the best k of each per query."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, wanted, by_field = shared.value
+        groups = {value: i for i, value in enumerate(dict.fromkeys(wanted))}
+        asked_group = np.array([groups[value] for value in wanted], np.int64)
+        for batch in batches:
+            for packed in zip(batch["lists"], batch["rows"]):
+                lists, rows = (pa.ipc.open_stream(p.as_buffer()).read_all() for p in packed)
+                n = rows.num_rows
+                norms = {f: rows[f"norm {i}"].to_numpy() for i, f in enumerate(text_fields)}
+                held = _entries(lists, text_fields, by_field, norms, np.ones(n, bool))
+                if match:
+                    values = zip(*[rows[c].to_pylist() for c in match])
+                    row_group = np.array([groups.get(v, -1) for v in values], np.int64)
+                for query, cells in _score_blocks(*held, n):
+                    if match:
+                        cells[asked_group[query][:, None] != row_group] = 0
+                    row, place, value = _best_cells(cells, k)
+                    taken = rows.select(key).take(pa.array(place)).combine_chunks()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.take(pa.array(query[row])),
+                            *[_whole(taken[c]) for c in key],
+                            pa.array(value),
+                        ],
+                        names=["query_id", *key, "score"],
+                    )
+
+    return best
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    whole = column.combine_chunks()
+    return whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)
+
+
+def _score_blocks(lists, entries, n: int):
+    """(queries, their scores with all ``n`` documents), in blocks of bounded size.
+
+    Lists that many of the queries ask for and many of the documents are in are multiplied as
+    a matrix; the matches of the others are summed one by one.
+    """
+    docs, shares, starts, sizes = lists
+    query, number, weight = entries
+    if not len(query):
+        return
+    new = np.concatenate(([True], query[1:] != query[:-1]))
+    opens, row = np.append(np.flatnonzero(new), len(query)), np.cumsum(new) - 1
+    rows = len(opens) - 1
+    share = np.bincount(number, minlength=len(sizes)) / rows * sizes / n
+    common = np.argsort(-share, kind="stable")[: max(1, DENSE_CELLS // n)]
+    common = common[share[common] >= DENSE_SHARE]
+    column = np.full(len(sizes), -1)
+    column[common] = np.arange(len(common))
+    matrix = np.zeros((len(common), n))
+    for i, at in enumerate(common):
+        own = slice(starts[at], starts[at] + sizes[at])
+        matrix[i, docs[own]] = shares[own]
+    dense = column[number] >= 0
+    ends = np.cumsum(np.bincount(row, weights=np.where(dense, 0, sizes[number]), minlength=rows))
+    low = 0
+    while low < rows:
+        before = ends[low - 1] if low else 0
+        high = int(np.searchsorted(ends, before + MATCHES_AT_ONCE, side="right"))
+        high = min(max(high, low + 1), low + max(1, CELLS_AT_ONCE // n), rows)
+        own = slice(opens[low], opens[high])
+        line, list_no, factor, many = row[own] - low, number[own], weight[own], dense[own]
+        held = np.zeros((high - low, len(common)))
+        held[line[many], column[list_no[many]]] = factor[many]
+        cells = held @ matrix
+        line, list_no, factor = line[~many], list_no[~many], factor[~many]
+        times = sizes[list_no]
+        at = np.repeat(starts[list_no] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        cell = np.repeat(line * n, times) + docs[at]
+        value = np.repeat(factor, times) * shares[at]
+        cells += np.bincount(cell, weights=value, minlength=cells.size).reshape(cells.shape)
+        yield query[opens[low:high]], cells
+        low = high
+
+
+def _best_cells(cells, k: int, width: int = 64):
+    """(row, place, score) of the best ``k`` positive cells of each row, rounded, best first.
+
+    The k-th of the maxima of runs of cells bounds the k-th cell from below, so that few
+    cells are rounded and sorted.
+    """
+    rows, n = cells.shape
+    least, runs = np.zeros(rows), n // width
+    if runs > k:
+        maxima = cells[:, : runs * width].reshape(rows, runs, width).max(axis=2)
+        least = np.partition(maxima, runs - k, axis=1)[:, runs - k]
+    found = np.flatnonzero(cells >= np.maximum(least - 2e-6, 4e-7)[:, None])
+    row, place, value = found // n, found % n, np.round(cells.ravel()[found], 6)
+    order = np.lexsort((place, -value, row))
+    order = order[value[order] > 0]
+    row, place, value = row[order], place[order], value[order]
+    near = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[near], place[near], value[near]
 
 
 def _asked_lists(index: KeywordIndex, part: DataFrame, weights: pa.Table) -> DataFrame:
     """The lists of all terms that ``part`` asks for, and the rows of every shard.
 
-    The term reaches the scan as a predicate, or as a join with the terms of one slice of
-    queries, whose size is bounded.
+    The term reaches the scan as a predicate, or as a join with the terms of the queries,
+    which are one slice at most.
     """
     terms = pc.unique(weights["term"]).to_pylist()
     if len(terms) <= LISTED_TERMS:
@@ -484,11 +845,7 @@ def _best_of_shard(
     def best(table: pa.Table) -> pa.Table:
         ids, wanted, by_field = shared.value
         rows, norms = _shard_rows(table, text_fields)
-        allowed = np.ones(len(rows), bool)
-        for name, value in filters.items():
-            column = rows.field(rows.type.get_field_index(name))
-            equal = pc.equal(column, pa.scalar(value, column.type))
-            allowed &= equal.fill_null(False).to_numpy(zero_copy_only=False)
+        allowed = _allowed(rows, filters)
         groups = {value: i for i, value in enumerate(dict.fromkeys(wanted))}
         asked_group = np.array([groups[value] for value in wanted], np.int64)
         if match:
@@ -526,6 +883,16 @@ def _best_of_shard(
     return best
 
 
+def _allowed(rows, filters: dict[str, object]):
+    """Which of the documents pass the filters."""
+    allowed = np.ones(len(rows), bool)
+    for name, value in filters.items():
+        column = rows.field(rows.type.get_field_index(name))
+        equal = pc.equal(column, pa.scalar(value, column.type))
+        allowed &= equal.fill_null(False).to_numpy(zero_copy_only=False)
+    return allowed
+
+
 def _shard_rows(table: pa.Table, text_fields: tuple[str, ...]):
     """Keys and keyword fields of a shard's documents, and by field the norms of their weights."""
     held = table.filter(pc.equal(table["term"], ""))

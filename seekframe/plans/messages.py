@@ -4,12 +4,15 @@ A log is ``(conv_id, turn, role, text)``; calls are ``(call_id, name, arguments)
 the arguments as JSON text; outputs are ``(call_id, type, output)``.
 """
 
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.operators.rank import dense_number, top_k
+from seekframe.session import shared_dir
 
 # The names of the tool, its argument and the item types.
 SEARCH_TOOL = "search"
@@ -17,6 +20,9 @@ QUERY_ARGUMENT = "query"
 OUTPUT_TYPE = "function_call_output"
 MODEL_ROLE = "assistant"
 
+LISTED_KEYS = 500_000  # of records with a hit: up to here they are broadcast to thin the records
+HITS_AT_ONCE = 8_192  # whose records one task puts together
+
 
 def append_history(log: DataFrame, new: DataFrame) -> DataFrame:
     """Log with the ``new(conv_id, seq, role, text)`` items behind it, in ``seq`` order.
@@ -65,13 +71,25 @@ def dispatch_calls(
 
     ``search`` maps ``(query_id, text)`` to hits. The output is a JSON array of the
     ``payload`` of the hits, best first, empty if there are none.
+
+    The hits are stored first: they are small, and known by number before any record moves.
+    Records without a hit stay where they are; the others move to the hits, and once more with
+    each hit to its call.
     """
+    spark = calls.sparkSession
     queries = calls.select(F.col("call_id").alias("query_id"), F.col("query").alias("text"))
-    wanted = search(queries).select("query_id", *key, "rank")
+    place = f"{shared_dir(spark)}/hits-{uuid.uuid4().hex}"
+    search(queries).select("query_id", *key, "rank").write.parquet(place)
+    wanted = spark.read.parquet(place)
+    keys = wanted.select(*key).distinct()
+    if keys.limit(LISTED_KEYS + 1).count() <= LISTED_KEYS:
+        docs = docs.join(F.broadcast(keys), list(key), "left_semi")
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(wanted.count() / HITS_AT_ONCE))
     listed = F.array_sort(F.collect_list(F.struct("rank", F.struct(*payload).alias("hit"))))
     options = {"pretty": str(pretty).lower(), "ignoreNullFields": "false"}
     found = (
         docs.join(wanted, list(key))
+        .repartition(parts, "query_id")
         .groupBy("query_id")
         .agg(listed.alias("_hits"))
         .select(
